@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+from lamina.llm.decontaminate import OP6_SQL, op6_decontaminate
+from lamina.llm.line_dedup import OP8_SQL, op8_line_dedup
 from lamina.llm.quality_rules import op10_quality_rules
+from lamina.llm.simhash import op7_simhash
 
 QUERIES = {
+    "op6_decontaminate": op6_decontaminate,
+    "op7_simhash": op7_simhash,
+    "op8_line_dedup": op8_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_decontaminate": OP6_SQL,
+    "op8_line_dedup": OP8_SQL,
+}
