@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import blank, table
+from lamina.llm.common import blank, ship, table
 
 WINDOW = 10
 BLOCK_BYTES = 4_000_000
@@ -190,6 +190,7 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> I
 def locate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs as one struct column, with the number of words, the hit spans (in words) and the longest matches."""
     spark = docs.sparkSession
+    ship(spark)
     found = docs.select(F.struct("*").alias(ROW), F.lit(0).cast("long").alias(N_WORDS), F.expr("array()").cast("array<struct<start:bigint,stop:bigint>>").alias(SPANS), F.expr("array()").cast(MATCH).alias(MATCHES))
     schema = found.schema
     field = docs.columns.index(text)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import blank, cut, small, table
+from lamina.llm.common import blank, cut, ship, small, table
 
 SHINGLE = 3
 THRESHOLD = 3
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
             values = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], dtype=np.uint64)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(values.view(np.int64))], names=["id", "body", "fp"])
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("body"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "id long, body long, fp long")
 
