@@ -58,6 +58,17 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(held) if held.count() <= rows else held
 
 
+def where_fenced(df: DataFrame, condition: Column) -> DataFrame:
+    """df.where(condition), evaluated on the columns of df as they stand.
+
+    The optimizer moves a plain filter below projections by copying their expressions into it, so costly ones
+    are taken twice, or once per element where a lambda reads them. It moves none past a projection with a
+    non-deterministic column that the filter uses.
+    """
+    fence = blank("fence")
+    return df.withColumn(fence, F.spark_partition_id()).where(condition & (F.col(fence) >= 0)).drop(fence)
+
+
 def words_of(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as an array; null and blank texts have none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE))

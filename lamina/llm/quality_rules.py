@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import SPACE, blank, hashes_of, small, table, window_hashes, words_of
+from lamina.llm.common import SPACE, blank, hashes_of, small, table, where_fenced, window_hashes, words_of
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -110,7 +110,7 @@ def judge(
 
 def keep(docs: DataFrame, **limits) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
-    return judge(docs, **limits).where("kept").select(f"{ROW}.*")
+    return where_fenced(judge(docs, **limits), F.col("kept")).select(f"{ROW}.*")
 
 
 def op10_quality_rules(spark, sf_dir) -> DataFrame:

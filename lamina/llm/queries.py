@@ -5,6 +5,7 @@ from __future__ import annotations
 from lamina.llm.decontaminate import OP6_SQL, op6_decontaminate
 from lamina.llm.line_dedup import OP8_SQL, op8_line_dedup
 from lamina.llm.packing import op5_packing
+from lamina.llm.quality_mil import op3_quality_mil
 from lamina.llm.quality_rules import op10_quality_rules
 from lamina.llm.secrets import OP9_SQL, op9_secrets
 from lamina.llm.sharding import op2_sharding
@@ -12,6 +13,7 @@ from lamina.llm.simhash import op7_simhash
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op3_quality_mil": op3_quality_mil,
     "op5_packing": op5_packing,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,

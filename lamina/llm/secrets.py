@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import blank, cut, table
+from lamina.llm.common import blank, cut, table, where_fenced
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,7 @@ def spans_of(text: Column, rule: Rule, rank: int) -> Column:
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...], pending: str = "pending") -> DataFrame:
     """(blob, spans) of blobs with any span; ``pending`` names the kinds to scan in each."""
     found = [F.when(F.array_contains(pending, r.kind), spans_of(F.col(TEXT), r, rank)).otherwise(F.expr("array()").cast(SPAN)) for rank, r in enumerate(rules)]
-    return blobs.select(F.col(BLOB).alias("blob"), F.concat(*found).alias("spans")).where(F.size("spans") > 0)
+    return where_fenced(blobs.select(F.col(BLOB).alias("blob"), F.concat(*found).alias("spans")), F.size("spans") > 0)
 
 
 def addressed(docs: DataFrame, path: str, text: str) -> DataFrame:
