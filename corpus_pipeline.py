@@ -4,16 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import quality_rules
+from lamina.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from lamina.llm.common import cut, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules (op 10) keep."""
+    """Quality rules (op 10): documents that the rules reject go."""
     return quality_rules.keep(docs)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup (op 8): later occurrences of three-line windows go from the texts."""
+    return line_dedup.rewrite(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup (op 7): one document of each group stays."""
+    return simhash.one_of_each(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination (op 6): documents with a window of a benchmark item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Best-fit packing (op 5): the pieces of the documents and their places in the sequences."""
+    return packing.pack(docs).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("SimHash near-dedup", near_copies),
+    ("benchmark decontamination", benchmark),
+    ("best-fit packing", sequences),
+]
+#: SQL has no SimHash components, token ids or packing; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from lamina.llm.decontaminate import OP6_SQL, op6_decontaminate
+from lamina.llm.fixity import OP1_SQL, op1_fixity
+from lamina.llm.license_scan import op4_license_scan
 from lamina.llm.line_dedup import OP8_SQL, op8_line_dedup
 from lamina.llm.packing import op5_packing
 from lamina.llm.quality_mil import op3_quality_mil
@@ -12,8 +14,10 @@ from lamina.llm.sharding import op2_sharding
 from lamina.llm.simhash import op7_simhash
 
 QUERIES = {
+    "op1_fixity": op1_fixity,
     "op2_sharding": op2_sharding,
     "op3_quality_mil": op3_quality_mil,
+    "op4_license_scan": op4_license_scan,
     "op5_packing": op5_packing,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash": op7_simhash,
@@ -22,6 +26,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {
+    "op1_fixity": OP1_SQL,
     "op6_decontaminate": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
     "op9_secrets": OP9_SQL,
