@@ -37,7 +37,7 @@ ROW, WORDS, HASHES, WINDOWS, LINES, HOST = (blank(x) for x in ("row", "words", "
 def normal_lines(text: Column) -> Column:
     """Lines of a text in lower case, with white space collapsed; lines without a word are left out."""
     flat = F.regexp_replace(F.lower(text), r"[ \t\x0b\f\r]{2,}|[\t\x0b\f\r]", " ")
-    return F.filter(F.split(flat, " ?\n ?"), lambda line: F.btrim(line, F.lit(SPACE)) != "")
+    return F.filter(F.transform(F.split(flat, "\n"), lambda line: F.btrim(line)), lambda line: line != "")
 
 
 def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -95,7 +95,7 @@ def judge(
     joined = stats.withColumn(HOST, F.xxhash64(row[source])).join(removed.select(F.col("host").alias(HOST), F.col("lines").alias(LINES)), HOST, "left").drop(HOST)
     line_words = F.transform(
         normal_lines(row[text]),
-        lambda x: F.struct(F.xxhash64(x).alias("h"), (F.length(F.btrim(x)) - F.length(F.replace(F.btrim(x), F.lit(" "))) + 1).alias("n")),
+        lambda x: F.struct(F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1).alias("n")),
     )
     gone = F.aggregate(
         F.when(F.col(LINES).isNull(), F.array().cast("array<struct<h:bigint,n:int>>")).otherwise(F.filter(line_words, lambda x: F.array_contains(F.col(LINES), x["h"]))),

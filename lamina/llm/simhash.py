@@ -208,29 +208,27 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def group(marked: DataFrame) -> DataFrame:
-    """marked (id, body, fp) with component_id: the smallest id of each row's group."""
+    """marked (id, body, fp) with label, a fingerprint that names the group, and component_id, its smallest id."""
     copies = cut(marked.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")))
     labels = cut(components(links(copies)))
     named = copies.join(labels, copies["fp"] == labels["node"], "left").select("fp", "least", "n", F.col("label"))
     lowest = cut(named.where("label is not null").groupBy("label").agg(F.min("least").alias("lowest")))
     grouped = named.join(lowest, "label", "left").where("n > 1 or label is not null")
-    known = small(grouped.select("fp", F.when(F.col("label").isNull(), F.col("least")).otherwise(F.col("lowest")).alias("lowest"), F.lit(True).alias("grouped")))
-    return marked.join(known, "fp", "left").select("id", "body", "fp", F.when(F.col("grouped"), F.col("lowest")).otherwise(F.col("id")).alias("component_id"))
+    lowest_id = F.when(F.col("label").isNull(), F.col("least")).otherwise(F.col("lowest"))
+    known = small(grouped.select("fp", F.coalesce("label", "fp").alias("label"), lowest_id.alias("lowest")))
+    component = F.when(F.col("label").isNotNull(), F.col("lowest")).otherwise(F.col("id"))
+    return marked.join(known, "fp", "left").select("id", "body", "fp", F.coalesce("label", "fp").alias("label"), component.alias("component_id"))
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, body, fp, component_id) of each row."""
+    """(id, body, fp, label, component_id) of each row."""
     return group(cut(fingerprints(docs, doc_id, text)))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group, with its own columns: the smallest doc_id, of equal ones the smallest text hash.
-
-    Rows whose whole group has no doc_id are grouped by fingerprint only.
-    """
+    """One row of each group, with its own columns: the smallest doc_id (null last), then the smallest text hash."""
     groups = cut(near_groups(docs, doc_id, text))
-    rows = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp"))
-    best = rows.agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "body")).alias("best"))
+    best = groups.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "body")).alias("best"))
     again = groups.groupBy("id", "body").agg(F.count("*").alias(blank("d_n"))).withColumnsRenamed({"id": blank("d_id"), "body": blank("d_body")})
     pick = best.select("best.id", "best.body")
     chosen = pick.join(again, pick["id"].eqNullSafe(again[blank("d_id")]) & (pick["body"] == again[blank("d_body")])).drop("id", "body")
