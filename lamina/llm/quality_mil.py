@@ -81,7 +81,10 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     at = len(CLASSES)
     if len(data) > 1:
         pair = (data[:-1].astype(np.int64) * 1031 + data[1:]) * 40503 % 65521 % HASHED
-        out[:, at + 6 :] = np.sqrt(np.bincount(owner[:-1] * HASHED + pair, minlength=total * HASHED).reshape(total, HASHED) / length)
+        cell = owner[:-1] * HASHED + pair
+        counts = np.bincount(cell, minlength=total * HASHED)
+        np.subtract.at(counts, cell[begins[1:] - 1], 1)  # pairs with the next text's first byte
+        out[:, at + 6 :] = np.sqrt(counts.reshape(total, HASHED) / length)
     if len(starts):
         words = np.maximum(1, np.bincount(passage, minlength=total))
         width = (ends - starts).astype(np.float64)
@@ -101,7 +104,7 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         out[:, at + 3] = most / words
         again = np.r_[False, (code[1:] == code[:-1]) & (passage[1:] == passage[:-1])]
         out[:, at + 4] = np.bincount(passage[again], minlength=total) / words
-        out[:, at + 5] = np.minimum(words, PASSAGE) / PASSAGE
+        out[:, at + 5] = np.bincount(passage, minlength=total) / PASSAGE
     return out, n_passages
 
 
