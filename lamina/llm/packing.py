@@ -20,10 +20,12 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +40,9 @@ SLACK = 0.01
 SHARD_PIECES = 100_000
 GROUP_ROWS = 20_000
 #: Pieces of text whose ids a worker remembers.
-REMEMBER = 500_000
+REMEMBER = 200_000
+#: Characters of text that a worker encodes at a time.
+SLICE_CHARS = 3_000_000
 
 #: Texts of these characters only are split here; others by the tokenizer itself.
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
@@ -66,47 +70,60 @@ class Encoder:
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in seen]
         self.letters = {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        self.forget()
 
-    def forget(self) -> None:
-        self.known = Remembered()
+        self.known, self.hits = Remembered(), np.zeros(0, np.int64)
         self.known.new = []
         self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def forget(self) -> None:
+        """Keep only the pieces that were met most often, half of the bound at most."""
+        names, keep = list(self.known), np.argsort(-self.hits, kind="stable")[: REMEMBER // 2]
+        keep = keep[self.hits[keep] > 1]
+        self.flat, self.sizes = gather(self.flat, self.starts[keep], self.sizes[keep]), self.sizes[keep]
+        self.starts, self.hits = np.cumsum(self.sizes) - self.sizes, np.zeros(len(keep), np.int64)
+        self.known = Remembered((names[k], i) for i, k in enumerate(keep.tolist()))
+        self.known.new = []
+
     def learn(self) -> None:
         new, self.known.new = self.known.new, []
         if not new:
             return
         letters = self.letters
-        ids = [x.ids for x in self.model.encode_batch_fast(["".join([letters[b] for b in p.encode()]) for p in new], add_special_tokens=False)]
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
+        found = self.model.encode_batch_fast(["".join([letters[b] for b in p.encode()]) for p in new], add_special_tokens=False)
+        ids = [x.ids for x in found]
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, *(np.array(x, dtype=np.uint32) for x in ids)])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), dtype=np.uint32)])
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text, the end id last."""
+        plain = [text is not None and PLAIN.fullmatch(text) is not None and "<|" not in text for text in texts]
+        words = pc.utf8_split_whitespace(pc.utf8_lower(pa.array([t if p else "" for t, p in zip(texts, plain, strict=True)], pa.large_string())))
+        bounds = words.offsets.to_numpy()
+        coded = words.flatten().dictionary_encode()
         if len(self.known) > REMEMBER:
             self.forget()
-        number, found = self.known.__getitem__, []
-        for text in texts:
-            text = text or ""
-            if PLAIN.fullmatch(text) and "<|" not in text:
-                found.append(np.fromiter(map(number, PIECES.findall(text.lower())), dtype=np.int64))
-            else:
-                found.append(text)
+        # Pieces of each distinct word, then ids of each distinct word, then ids of the words as they stand.
+        parts = [PIECES.findall(w) for w in coded.dictionary.to_numpy(zero_copy_only=False)]
+        number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), dtype=np.int64)
+        n_parts = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        del parts
         self.learn()
-        for x in found:
-            if isinstance(x, str):
-                yield np.array([*self.whole.encode(x, add_special_tokens=False).ids, END], dtype=np.uint32)
-                continue
-            sizes = self.sizes[x]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            ids = np.empty(total + 1, dtype=np.uint32)
-            ids[:total] = self.flat[np.repeat(self.starts[x] - ends + sizes, sizes) + np.arange(total)]
-            ids[total] = END
-            yield ids
+        self.hits = np.bincount(number, minlength=len(self.known)) + np.r_[self.hits, np.zeros(len(self.known) - len(self.hits), np.int64)]
+        word_ids = gather(self.flat, self.starts[number], self.sizes[number])
+        ends = np.r_[0, np.cumsum(self.sizes[number])][np.cumsum(n_parts)]
+        sizes = np.diff(ends, prepend=0)
+        index = coded.indices.to_numpy()
+        ids, stops = gather(word_ids, (ends - sizes)[index], sizes[index]), np.r_[0, np.cumsum(sizes[index])][bounds]
+        for text, own, first, last in zip(texts, plain, stops[:-1].tolist(), stops[1:].tolist(), strict=True):
+            yield np.append(ids[first:last] if own else np.array(self.whole.encode(text or "", add_special_tokens=False).ids, dtype=np.uint32), np.uint32(END))
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of flat that begin at starts, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 @lru_cache(maxsize=1)
@@ -147,8 +164,10 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
         base, held, number = (TaskContext.get().partitionId() + 1) << 40, [], 0
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for first in range(0, len(ids), 500):
-                for doc, tokens in zip(ids[first : first + 500], encoder(path).encode(texts.slice(first, 500).to_pylist()), strict=True):
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_CHARS
+            cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(ids)]
+            for first, last in zip(cuts, cuts[1:]):
+                for doc, tokens in zip(ids[first:last], encoder(path).encode(texts.slice(first, last - first).to_pylist()), strict=True):
                     for start in range(0, len(tokens), capacity):
                         part = tokens[start : start + capacity]
                         held.append((doc, start // capacity, start, len(part), zlib.crc32(part.astype("<u4").tobytes()), *([part.astype(np.int32)] if with_ids else [])))
