@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from lamina.plans import table_queries, text_queries
+
+QUERIES: dict = {**table_queries.QUERIES, **text_queries.QUERIES}
+ORACLES: dict = {**table_queries.ORACLES, **text_queries.ORACLES}
