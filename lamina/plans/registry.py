@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lamina.plans import table_queries, text_queries
+from lamina.plans import block_queries, table_queries, text_queries
 
-QUERIES: dict = {**table_queries.QUERIES, **text_queries.QUERIES}
-ORACLES: dict = {**table_queries.ORACLES, **text_queries.ORACLES}
+QUERIES: dict = {**block_queries.QUERIES, **table_queries.QUERIES, **text_queries.QUERIES}
+ORACLES: dict = {**block_queries.ORACLES, **table_queries.ORACLES, **text_queries.ORACLES}

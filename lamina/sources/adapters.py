@@ -82,3 +82,40 @@ UNION ALL
 SELECT table_id, 0, unnest(range(5)), 1, 1, unnest({quoted(ORDER_HEADER)}) FROM ({ORDER_ROWS_SQL}) WHERE r = 1"""
 
 
+
+
+#: Types of line blocks by place, beside paragraphs.
+BLOCK_TYPES = {0: "header", 5: "table", 6: "image", 7: "footnote", 8: "caption", 11: "shape", 17: "control"}
+
+
+def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks made from the lines of documents, with styles by length and place."""
+    lines = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    pos, n = F.col("pos"), F.length("line")
+    key = F.col("doc_id") * 7 + pos
+    kind = F.lit("paragraph")
+    for place, name in BLOCK_TYPES.items():
+        kind = F.when(key % 23 == place, name).otherwise(kind)
+    return lines.select(
+        "doc_id",
+        pos.cast("long").alias("ord"),
+        F.floor(pos / 6).cast("long").alias("section"),
+        kind.alias("block_type"),
+        F.substring("line", 1, 60).alias("text"),
+        F.concat(F.lit("s"), (key % 3).cast("string")).alias("style_id"),
+        F.concat(F.lit("p"), F.when(n < 120, 0).otherwise(1).cast("string")).alias("para_id"),
+        F.when(n < 40, 16.0).when(n < 120, 14.0).when(n < 300, 12.0).otherwise(10.0).alias("font_size"),
+        F.when(n < 90, 1.0).otherwise(0.25).alias("bold_ratio"),
+        F.when(n < 60, "CENTER").otherwise("LEFT").alias("alignment"),
+        (key % 5 * 300).cast("long").alias("indent"),
+        F.when(key % 19 == 1, (key % 4).cast("int")).alias("native_level"),
+        F.when(key % 13 == 2, (key % 3 + 1).cast("int")).alias("numbering_level"),
+    )
+
+
+LINE_BLOCKS_SQL = f"""
+SELECT doc_id, pos AS ord, pos // 6 AS section, CASE key % 23 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in BLOCK_TYPES.items())} ELSE 'paragraph' END AS block_type, substring(line, 1, 60) AS text,
+  's' || (key % 3) AS style_id, 'p' || CASE WHEN n < 120 THEN 0 ELSE 1 END AS para_id, CAST(CASE WHEN n < 40 THEN 16 WHEN n < 120 THEN 14 WHEN n < 300 THEN 12 ELSE 10 END AS DOUBLE) AS font_size,
+  CASE WHEN n < 90 THEN 1.0 ELSE 0.25 END AS bold_ratio, CASE WHEN n < 60 THEN 'CENTER' ELSE 'LEFT' END AS alignment, key % 5 * 300 AS indent,
+  CASE WHEN key % 19 = 1 THEN key % 4 END AS native_level, CASE WHEN key % 13 = 2 THEN key % 3 + 1 END AS numbering_level
+FROM (SELECT *, doc_id * 7 + pos AS key, length(line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents))"""
