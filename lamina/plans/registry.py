@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lamina.plans import block_queries, table_queries, text_queries
+from lamina.plans import block_queries, document_queries, kind_queries, table_queries, text_queries
 
-QUERIES: dict = {**block_queries.QUERIES, **table_queries.QUERIES, **text_queries.QUERIES}
-ORACLES: dict = {**block_queries.ORACLES, **table_queries.ORACLES, **text_queries.ORACLES}
+QUERIES: dict = {**block_queries.QUERIES, **document_queries.QUERIES, **kind_queries.QUERIES, **table_queries.QUERIES, **text_queries.QUERIES}
+ORACLES: dict = {**block_queries.ORACLES, **document_queries.ORACLES, **kind_queries.ORACLES, **table_queries.ORACLES, **text_queries.ORACLES}

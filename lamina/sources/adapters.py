@@ -119,3 +119,39 @@ SELECT doc_id, pos AS ord, pos // 6 AS section, CASE key % 23 {" ".join(f"WHEN {
   CASE WHEN n < 90 THEN 1.0 ELSE 0.25 END AS bold_ratio, CASE WHEN n < 60 THEN 'CENTER' ELSE 'LEFT' END AS alignment, key % 5 * 300 AS indent,
   CASE WHEN key % 19 = 1 THEN key % 4 END AS native_level, CASE WHEN key % 13 = 2 THEN key % 3 + 1 END AS numbering_level
 FROM (SELECT *, doc_id * 7 + pos AS key, length(line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents))"""
+
+
+#: Small tables of each kind by place of the order, as (r, c, row_span, col_span, text); texts are SQL of both dialects.
+KINDS = {
+    0: [(0, 0, 1, 1, "concat(o_orderkey % 90, '. ', o_orderpriority)")],
+    1: [(0, 0, 1, 1, "concat('A', o_orderkey % 10)"), (0, 1, 1, 1, "concat('order ', o_orderpriority, ' of customer ', o_custkey)")],
+    2: [(0, 0, 1, 1, "'status'"), (0, 1, 1, 1, "concat(o_orderstatus, ' as recorded')"), (1, 0, 1, 1, "'priority'"), (1, 1, 1, 1, "concat('now ', o_orderpriority)"), (2, 0, 1, 1, "'customer'"), (2, 1, 1, 1, "concat('number ', o_custkey)")],
+    3: [(0, 0, 1, 1, "concat('Table ', o_orderkey, ' totals')")],
+    4: [(0, 0, 1, 1, "'state'"), (0, 1, 1, 1, "'prio'"), (0, 2, 1, 1, "'cust'"), (1, 0, 1, 1, "concat('recorded as ', o_orderstatus)"), (1, 1, 1, 1, "concat('priority ', o_orderpriority)"), (1, 2, 1, 1, "concat('customer ', o_custkey)")],
+    5: [(0, 0, 1, 1, "' '"), (0, 1, 1, 1, "concat(o_orderpriority, ' heading text')"), (1, 0, 1, 1, "''"), (1, 1, 1, 1, "''")],
+    6: [(r, c, 1, 1, f"concat('v', o_orderkey % {r + c + 3})") for r in range(3) for c in range(5)],
+    7: [(0, 0, 2, 1, "'group'"), (0, 1, 1, 1, "'name'"), (0, 2, 1, 2, "o_orderpriority"), (1, 1, 1, 1, "'state'"), (1, 2, 1, 2, "o_orderstatus"), (2, 0, 1, 1, "'customer'"), (2, 1, 1, 3, "concat('c', o_custkey)"), (3, 0, 1, 4, "' '")],
+    8: [(0, 0, 1, 1, "''"), (0, 1, 1, 1, "' '")],
+}
+
+
+def kind_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(table_id, r, c, row_span, col_span, text): a small table per order, of a kind by its key."""
+    listed = None
+    for kind, cells in KINDS.items():
+        own = F.array(*[F.struct(*[F.lit(v).cast("long").alias(n) for n, v in zip(("r", "c", "row_span", "col_span"), cell)], F.expr(cell[4]).alias("text")) for cell in cells])
+        at = F.col("o_orderkey") % len(KINDS) == kind
+        listed = F.when(at, own) if listed is None else listed.when(at, own)
+    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("table_id"), F.explode(listed).alias("x")).select("table_id", "x.*")
+
+
+def kind_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(table_id, parent_id): every table whose key mod 4 is not 0 lies in the table with the next lower key."""
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("table_id"))
+    return orders.where("table_id % 4 <> 0").select("table_id", (F.col("table_id") - 1).alias("parent_id")).join(orders.select(F.col("table_id").alias("parent_id")), "parent_id", "left_semi")
+
+
+KIND_CELLS_SQL = " UNION ALL ".join(
+    f"SELECT o_orderkey AS table_id, {r} AS r, {c} AS c, {rs} AS row_span, {cs} AS col_span, {text} AS text FROM orders WHERE o_orderkey % {len(KINDS)} = {kind}" for kind, cells in KINDS.items() for r, c, rs, cs, text in cells
+)
+KIND_PARENTS_SQL = "SELECT o_orderkey AS table_id, o_orderkey - 1 AS parent_id FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey - 1 IN (SELECT o_orderkey FROM orders)"
