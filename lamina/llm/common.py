@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.runtime import ship as ship
+
 #: ASCII white space: what ``[^\x20\x09-\x0D]+`` leaves out of words.
 SPACE = " \t\n\x0b\f\r"
 SPACE_RUN = r"[ \t-\r]+"
@@ -21,20 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per context; they need not have it installed."""
-    context = spark.sparkContext
-    if getattr(context, "_lamina_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    archive = os.path.join(tempfile.mkdtemp(prefix="lamina-"), "lamina.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for path in sorted(package.rglob("*.py")):
-            out.write(path, path.relative_to(package.parent))
-    context.addPyFile(archive)
-    context._lamina_shipped = True
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder that the session names.
 
