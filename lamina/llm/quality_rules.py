@@ -5,8 +5,7 @@ host (``source``) and line the distinct documents are counted; a document's iden
 other line, so exact and near copies of one text count once (they are the deduplicators' business) while
 boilerplate, which stands between different lines everywhere, counts in full. A line is removed if it is in
 more than ``max_docs`` documents of the host and in more than ``max_share`` of them. A document is rejected if
-the rules of its own text fail, or if what remains of it after the removal is under ``min_words`` words or
-under ``min_left`` of its words (only where a line was removed).
+the rules of its own text fail, or if it is depleted: under ``min_left`` of its words remain after the removal.
 
 Defined results: a null text has no words and fails the rules; null hosts are one host; equal rows get equal
 verdicts; an empty table gives an empty result; all columns of the input stay, whatever their names.
@@ -104,7 +103,7 @@ def judge(
     )
     counted = joined.withColumn("n_removed_words", gone).drop(LINES)
     left = F.col("n_words") - F.col("n_removed_words")
-    depleted = (F.col("n_removed_words") > 0) & ((left < MIN_WORDS) | (left < F.col("n_words") * min_left))
+    depleted = (F.col("n_removed_words") > 0) & (left < F.col("n_words") * min_left)
     return counted.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 

@@ -41,7 +41,7 @@ def test_frequent_lines_are_removed_and_depleted_documents_rejected(spark):
     line = lambda n: " ".join(word() for _ in range(n))
     footer, copy = line(12), "\n".join(line(15) for _ in range(4))
     rows = [(i, f"{line(20)}\n{line(25)}\n  {footer.upper()} ", "h") for i in range(60)]
-    rows += [(100, f"{footer}\n{line(4)}", "h"), (101, f"{footer}\n{line(4)}", None), (102, f"{line(20)}\n{line(30)}", "h")]
+    rows += [(100, f"{footer}\n{word()}", "h"), (101, f"{footer}\n{word()}", None), (102, f"{line(20)}\n{line(30)}", "h"), (103, f"{footer}\n{line(4)}", "h")]
     rows += [(200 + i, copy, "h") for i in range(50)]  # copies are no boilerplate
     kept = {r.doc_id for r in quality_rules.keep(spark.createDataFrame(rows, "doc_id long, text string, source string"), max_docs=10, max_share=0.1).collect()}
     assert kept == {r[0] for r in rows} - {100}
