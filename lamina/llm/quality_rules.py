@@ -28,7 +28,7 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MAX_DOCS = 30
 MAX_SHARE = 0.01
-MIN_LEFT = 0.1
+MIN_LEFT = 0.25
 
 ROW, WORDS, HASHES, WINDOWS, LINES, HOST = (blank(x) for x in ("row", "words", "hashes", "windows", "lines", "host"))
 
