@@ -90,11 +90,11 @@ class SuffixArray:
         run = self.key[self.suffixes]
         tied = np.arange(len(self.suffixes))
         for level in range(1, probe.levels):
+            if not len(tied):
+                break
             new = np.r_[True, run[1:] != run[:-1]]
             single = new & np.r_[new[1:], True]
             tied, group = tied[~single], np.cumsum(new)[~single]
-            if not len(tied):
-                break
             suffixes = self.suffixes[tied]
             follow = self.key[suffixes + level * per]
             order = np.lexsort((follow, group))

@@ -3,15 +3,12 @@ from __future__ import annotations
 import random
 
 import pytest
+from conftest_llm import prose
 
 #: Names that the operators use inside must not clash with a table's own.
 CLASHING = ["id", "key", "n", "words", "lines", "spans", "shard", "slot", "bucket", "fp", "body", "blob", "path", "hash", "seq", "bin", "label", "kept", "n_words", "row"]
 
 
-def prose(rng: random.Random, words: int) -> str:
-    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(words))
-
-
 @pytest.fixture(scope="session")
 def odd_rows():
     """Nulls in any column, empty and blank texts, a very long one, ties, repeated rows."""

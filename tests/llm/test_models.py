@@ -164,6 +164,12 @@ def test_longest_matches(spark):
     assert found.n_hit == 38
 
 
+def test_texts_without_a_word_of_any_item():
+    probe = decontaminate.Probe([(1, " ".join(f"w{i}" for i in range(20))), (2, "lone")])
+    assert decontaminate.search(["a b c", None, "", "lone"], probe) == [(3, [], []), (0, [], []), (0, [], []), (1, [(0, 1)], [(2, 0, 0, 1)])]
+    assert decontaminate.search(["a b c"], probe) == [(3, [], [])] and decontaminate.search([], probe) == []
+
+
 def test_suffix_array_is_sorted():
     probe = decontaminate.Probe([(1, " ".join(f"w{i % 7}" for i in range(60)))])
     rng = np.random.default_rng(3)
