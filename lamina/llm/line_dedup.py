@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import SPACE, blank, cut, table
+from lamina.llm.common import SPACE, blank, cut, table, where_fenced
 
 WINDOW = 3
 
@@ -38,7 +38,7 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def windows_of(docs: DataFrame, doc_id: str, text: str, window: int) -> DataFrame:
     """(id, key, place, lines, a, b): each window of each document; ``lines`` are the places of its lines."""
-    lines = keyed(docs, doc_id, text).select(ID, KEY, full_lines(F.col(blank("text"))).alias(LINES)).where(F.size(LINES) >= window)
+    lines = where_fenced(keyed(docs, doc_id, text).select(ID, KEY, full_lines(F.col(blank("text"))).alias(LINES)), F.size(LINES) >= window)
     x = F.col(LINES)
     run = lambda i: [F.get(x, i + j) for j in range(window)]
     each = F.transform(
