@@ -1,4 +1,4 @@
-"""What Python workers need: this package itself."""
+"""What jobs need beside their plans: this package on the Python workers, and cut lineages."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> None:
@@ -22,3 +22,16 @@ def ship(spark: SparkSession) -> None:
             out.write(path, path.relative_to(package.parent))
     context.addPyFile(archive)
     context._lamina_shipped = True
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the folder that the session names.
+
+    The folder of ``spark.checkpoint.dir`` is used as the session has it. Only where neither it nor a
+    checkpoint folder is set (tests, a laptop) a local temporary one is set.
+    """
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        named = context.getConf().get("spark.checkpoint.dir")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lamina-checkpoints-"))
+    return df.checkpoint(eager=True)
