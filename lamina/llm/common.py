@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.runtime import cut as cut
 from lamina.runtime import ship as ship
 
 #: ASCII white space: what ``[^\x20\x09-\x0D]+`` leaves out of words.
@@ -20,19 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the session names.
-
-    The folder of ``spark.checkpoint.dir`` is used as the session has it. Only where neither it nor a
-    checkpoint folder is set (tests, a laptop) a local temporary one is set.
-    """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lamina-checkpoints-"))
-    return df.checkpoint(eager=True)
-
-
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df, cut and counted; with a broadcast hint if it has at most ``rows`` rows.
 
