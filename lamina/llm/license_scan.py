@@ -152,3 +152,22 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLA
 def op4_license_scan(spark, sf_dir) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col(ROW)["doc_id"].alias("doc_id"), "template", F.round("containment", 6).alias("containment"))
+
+
+def _values(templates: dict[str, str]) -> str:
+    return ", ".join(f"('{name}', {list(words)}, {min(SHINGLE, len(words))}, {len(words)})" for name, body in templates.items() for words in [normal(body)])
+
+
+OP4_SQL = rf"""
+WITH t(template, words, k, n) AS (VALUES {_values(TEMPLATES)}),
+ts AS (SELECT DISTINCT template, k, n, array_to_string(words[i:i + k - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(words) - k + 2)) AS i FROM t)),
+total AS (SELECT template, count(*) AS total FROM ts GROUP BY template),
+d AS (SELECT doc_id, row_number() OVER () AS row_no, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents),
+ds AS (SELECT row_no, k, i - 1 AS p, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM t) WHERE len(w) >= k)),
+hit AS (SELECT row_no, template, ts.k, n, p, s FROM ds JOIN ts USING (k, s)),
+spans AS (SELECT DISTINCT row_no, template, n, n - hit.k + 1 AS span, greatest(1, n // 4) AS step, greatest(len(w) - hit.k + 1 - (n - hit.k + 1), 0) AS last_start FROM hit JOIN d USING (row_no)),
+starts AS (SELECT DISTINCT row_no, template, span, step, unnest(list_append(range(0, last_start + 1, step), last_start)) AS a FROM spans),
+near AS (SELECT s.row_no, s.template, s.a, count(DISTINCT h.s) AS shared FROM starts s JOIN hit h ON h.row_no = s.row_no AND h.template = s.template
+  AND h.p >= greatest(s.a - s.step, 0) AND h.p < greatest(s.a - s.step, 0) + s.span + 2 * s.step GROUP BY s.row_no, s.template, s.a, s.span HAVING bool_or(h.p >= s.a AND h.p < s.a + s.span))
+SELECT d.doc_id, template, round(max(shared) / total, 6) AS containment FROM near JOIN total USING (template) JOIN d USING (row_no) GROUP BY d.doc_id, d.row_no, template, total HAVING max(shared) / total >= {CONTAINED}
+"""
