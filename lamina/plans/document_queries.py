@@ -8,11 +8,18 @@ from lamina.functions import text as T
 from lamina.operators import checks, folds, nested, render, styles
 from lamina.plans.block_queries import DEEP, deep
 from lamina.plans.text_queries import LINES, NUMBERED
-from lamina.sources.adapters import PREFIXES, marked_lines, read
+from lamina.sources.adapters import PREFIXES, marked_lines, quoted, read
 
 S = r"[\s\p{Z}]"
 
 
+def renamed(ctes: str) -> str:
+    """The CTEs n, m, s and k under doubled names."""
+    for name in "nmsk":
+        ctes = ctes.replace(f"\n{name} AS (", f"\n{2 * name} AS (").replace(f"FROM {name})", f"FROM {2 * name})")
+    return ctes
+
+
 def marked_deep(spark, sf_dir):
     """Blocks with depths, their texts behind the prefixes, some tables as title boxes."""
     blocks = deep(spark, sf_dir)
@@ -251,4 +258,12 @@ SELECT doc_id, coalesce(n_headings, 0) AS n_headings, coalesce(jumps, 0) AS jump
     "path_inventory": """SELECT path, count(*) AS n, count(*) FILTER (coalesce(v, '') = '') AS n_empty, count(DISTINCT v) AS n_distinct, CAST(max(length(v)) AS BIGINT) AS longest
 FROM (SELECT path, json_extract_string(props, '$."' || path || '"') AS v FROM (SELECT props, unnest(json_keys(props)) AS path FROM events)) GROUP BY path""",
     "mapping_grade": "SELECT count(DISTINCT n_nationkey) AS n_source, true AS is_function, count(DISTINCT n_regionkey) AS n_target, count(DISTINCT n_regionkey) = count(DISTINCT n_nationkey) AS is_injective FROM nation",
+    "numbering_agreement": rf"""{DEEP},
+l AS (SELECT doc_id, ord AS pos, depth, {quoted(PREFIXES)}[(doc_id * 7 + ord) % {len(PREFIXES)} + 1] || text AS text FROM deep), {renamed(NUMBERED)},
+q AS (SELECT kk.doc_id, kk.pos, l.depth, w[1] AS m, w, CASE WHEN numbering IS NOT NULL THEN list_filter(string_split(replace(numbering, '-', '.'), '.'), lambda x: x <> '') END AS parts
+  FROM kk JOIN l USING (doc_id, pos) JOIN (SELECT doc_id, pos, w FROM nn) USING (doc_id, pos)),
+u AS (SELECT *, len(parts) > 0 AND len(list_filter(parts, lambda x: NOT regexp_full_match(x, '[{T.DIGITS}]+'))) = 0 AS num FROM q),
+v AS (SELECT doc_id, pos, depth, CASE WHEN num THEN 'number' ELSE 'marker' END AS system, CASE WHEN num THEN len(parts) ELSE CASE m {" ".join(f"WHEN '{m}' THEN {level}" for m, level in T.MARKER_LEVELS)} ELSE CASE WHEN regexp_matches(w, '^[가-힣]\.\s') THEN 2 END END END AS level FROM u),
+x AS (SELECT *, lag(system) OVER o AS ls, lag(level) OVER o AS ll, lag(depth) OVER o AS ld FROM v WHERE level IS NOT NULL WINDOW o AS (PARTITION BY doc_id ORDER BY pos))
+SELECT system, count(*) FILTER (sign(level - ll) = sign(depth - ld)) AS agree, count(*) FILTER (sign(level - ll) <> sign(depth - ld)) AS differ FROM x WHERE ls = system GROUP BY system""",
 }

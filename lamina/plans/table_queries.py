@@ -236,4 +236,23 @@ SELECT table_id, string_agg(line, chr(10) ORDER BY pr) AS markdown FROM lines GR
     "structured_records": f"""{TWIN},
 dense AS (SELECT table_id, pr AS r, c, trim(text) AS value, pr <> r AND trim(text) <> '' AS inherited FROM (SELECT *, unnest(range(r, r + row_span)) AS pr FROM twin) WHERE pr > 0)
 SELECT d.table_id, CAST(dense_rank() OVER (PARTITION BY d.table_id ORDER BY d.r) - 1 AS BIGINT) AS record, d.r, k.key, d.value, d.inherited FROM dense d JOIN cols k ON k.table_id = d.table_id AND k.c = d.c""",
+    "header_col_scores": rf"""{SCORES},
+hc AS (SELECT t.*, g.i, h.n_header, unnest(range(1, least(2, size.n_cols - 1) + 1)) AS n FROM t JOIN g USING (table_id, r) JOIN heads h USING (table_id) JOIN size USING (table_id) WHERE size.n_cols > 1),
+hk AS (SELECT *, i < n_header AS head, c < n AS lft, text <> '' AS ful, {column_label_sql("text")} AS lab, {value_sql("text")} AS val, c <= 0 AND c + col_span > 0 AS zero FROM hc),
+pr AS (SELECT table_id, n, i, any_value(head) AS head, count(*) FILTER (lft) >= 2 AS two, coalesce(bool_and(lab OR NOT ful) FILTER (lft AND c < 2), false) AS only_labels FROM hk GROUP BY table_id, n, i),
+pa AS (SELECT table_id, n, count(*) FILTER (NOT head) AS n_data, count(*) FILTER (NOT head AND two AND only_labels) AS hier FROM pr GROUP BY table_id, n),
+ca AS (SELECT table_id, n, count(*) FILTER (NOT head AND lft AND ful) AS lefts, count(*) FILTER (NOT head AND lft AND ful AND lab) AS left_labels, coalesce(sum(length(text)) FILTER (NOT head AND lft AND ful), 0) AS left_chars,
+    count(DISTINCT text) FILTER (NOT head AND lft AND ful) AS different, count(*) FILTER (NOT head AND NOT lft AND ful) AS rights, count(*) FILTER (NOT head AND NOT lft AND ful AND val) AS right_values,
+    count(*) FILTER (NOT head AND NOT lft AND length(text) > 20) AS right_long, coalesce(bool_or(NOT head AND lft AND row_span > 1), false) AS grouped,
+    coalesce(bool_or(head AND lft AND len(list_filter({_words(DEFAULT.header_name)}, lambda k: contains(text, k))) > 0), false) AS descriptor,
+    coalesce(list(text ORDER BY i) FILTER (zero AND NOT head), []) AS zeros, coalesce(string_agg(text, ' ' ORDER BY i) FILTER (zero AND head), '') AS zero_head FROM hk GROUP BY table_id, n),
+cb AS (SELECT *, list_filter(zeros, lambda x: x <> '') AS fz FROM ca JOIN pa USING (table_id, n) JOIN k USING (table_id)),
+cc AS (SELECT *, len(list_filter({_words(T.INDEX_HEADERS)}, lambda w: contains(zero_head, w))) > 0
+      OR (len(zeros) >= 2 AND len(list_filter(zeros, lambda x: NOT regexp_full_match(x, '[0-9]+'))) = 0 AND zeros[1] IN ('0', '1') AND list_transform(zeros, lambda x: TRY_CAST(x AS BIGINT)) = range(TRY_CAST(zeros[1] AS BIGINT), TRY_CAST(zeros[1] AS BIGINT) + len(zeros))) AS is_index,
+    len(list_filter({_words(T.CODE_HEADERS)}, lambda w: contains(zero_head, w))) > 0 OR (len(fz) > 0 AND len(list_filter(fz, lambda x: regexp_matches(x, '{T.CODE}'))) * 10 >= len(fz) * 6) AS is_code,
+    len(list_filter({_words(T.DATE_HEADERS)}, lambda w: contains(zero_head, w))) > 0 OR (len(fz) > 0 AND len(list_filter(fz, lambda x: regexp_matches(x, '{T.DATE}'))) * 10 >= len(fz) * 6) AS is_date FROM cb)
+SELECT table_id, n, CAST((CASE WHEN lefts > 0 AND left_labels * 10 >= 6 * lefts THEN 2 ELSE 0 END) + (CASE WHEN rights > 0 AND right_values * 10 >= 6 * rights THEN 2 ELSE 0 END) + (CASE WHEN descriptor THEN 1 ELSE 0 END)
+  + (CASE WHEN lefts > 0 AND left_chars <= 8 * lefts THEN 1 ELSE 0 END) + (CASE WHEN lefts > 0 AND different * 10 >= 8 * lefts THEN 1 ELSE 0 END) + (CASE WHEN grouped THEN 1 ELSE 0 END)
+  + (CASE WHEN n = 2 AND n_data > 0 AND hier * 10 >= 6 * n_data AND right_values * 2 >= rights AND rights > 0 THEN 1 ELSE 0 END) - (CASE WHEN is_index THEN 4 ELSE 0 END) - (CASE WHEN is_code THEN 3 ELSE 0 END) - (CASE WHEN is_date THEN 2 ELSE 0 END)
+  - (CASE WHEN kv THEN 3 ELSE 0 END) - (CASE WHEN rights > 0 AND right_long * 2 > rights AND right_values * 10 < 3 * rights THEN 2 ELSE 0 END) - (CASE WHEN n_data <= 1 THEN 2 ELSE 0 END) AS BIGINT) AS score FROM cc""",
 }
