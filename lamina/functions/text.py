@@ -5,6 +5,8 @@ White space is Unicode white space throughout (``(?U)\\s``). Null texts count as
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -153,13 +155,13 @@ def leading_units(c: Column) -> Column:
     return (count(" ") + 4 * count("\t") + 2 * count("　")) * LEADING_UNIT
 
 
-def is_numeric_value(c: Column) -> Column:
-    text = strip(c)
+def is_numeric_value(c: Column, clean: bool = False) -> Column:
+    text = c if clean else strip(c)
     return ~text.rlike(NEUTRAL) & ~text.rlike(ITEM_NUMBER) & (text.rlike(PURE_NUMBER) | text.rlike(NUMBER_WITH_UNIT) | text.rlike(PERCENT))
 
 
-def is_neutral(c: Column) -> Column:
-    return strip(c).rlike(NEUTRAL)
+def is_neutral(c: Column, clean: bool = False) -> Column:
+    return (c if clean else strip(c)).rlike(NEUTRAL)
 
 
 def is_serial(values: Column) -> Column:
@@ -170,30 +172,35 @@ def is_serial(values: Column) -> Column:
     return (F.size(values) >= 2) & F.coalesce(first.isin(0, 1), F.lit(False)) & F.forall(steps, lambda x: F.coalesce(x, F.lit(False)))
 
 
-def is_numeric_like(c: Column) -> Column:
-    text = F.regexp_replace(collapse(c), " ", "")
+# Rules of cell texts take them as they stand, or collapsed already (``clean``), so that a pass over many cells
+# does not collapse each text once per rule.
+
+
+def is_numeric_like(c: Column, clean: bool = False) -> Column:
+    text = F.replace(c if clean else collapse(c), F.lit(" "), F.lit(""))
     return (text != "") & (text != "-") & text.rlike(NUMERIC)
 
 
 def has_any(c: Column, words: tuple[str, ...]) -> Column:
-    return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(c, w)) if words else F.lit(False)
+    """Whether a text contains any of some words, as one alternation."""
+    return c.rlike("|".join(re.escape(w) for w in words)) if words else F.lit(False)
 
 
-def is_label(c: Column, keywords: Keywords = DEFAULT) -> Column:
+def is_label(c: Column, keywords: Keywords = DEFAULT, clean: bool = False) -> Column:
     """A short text with a label keyword, or of six characters at most without a space or a digit."""
-    text = collapse(c)
+    text = c if clean else collapse(c)
     return (text != "") & (F.length(text) <= 12) & (has_any(text, keywords.labels) | ((F.length(text) <= 6) & ~text.contains(" ") & ~text.rlike(f"[{DIGITS}]")))
 
 
-def is_data_text(c: Column) -> Column:
-    return c.rlike(DATA) | is_numeric_like(c) | (F.length(c) > 20)
+def is_data_text(c: Column, clean: bool = False) -> Column:
+    return (F.length(c) > 20) | c.rlike(DATA) | is_numeric_like(c, clean)
 
 
-def is_value(c: Column) -> Column:
-    text = collapse(c)
-    return (text != "") & (text.isin(*VALUE_MARKS) | is_numeric_like(text) | text.rlike(DATA) | text.rlike(UNIT_VALUE))
+def is_value(c: Column, clean: bool = False) -> Column:
+    text = c if clean else collapse(c)
+    return (text != "") & (text.isin(*VALUE_MARKS) | text.rlike(DATA) | is_numeric_like(text, True) | text.rlike(UNIT_VALUE))
 
 
-def is_column_label(c: Column, keywords: Keywords = DEFAULT) -> Column:
-    text = collapse(c)
-    return (text != "") & (F.length(text) <= 15) & ~is_value(text) & (has_any(text, keywords.column_labels) | (~text.rlike(f"[{DIGITS}]") & (F.length(text) <= 12)))
+def is_column_label(c: Column, keywords: Keywords = DEFAULT, clean: bool = False) -> Column:
+    text = c if clean else collapse(c)
+    return (text != "") & (F.length(text) <= 15) & ~is_value(text, True) & (has_any(text, keywords.column_labels) | (~text.rlike(f"[{DIGITS}]") & (F.length(text) <= 12)))
