@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import text as T
+from lamina.runtime import cut
 
 #: A table deeper than this has a cycle above it.
 MOST_DEPTH = 64
@@ -15,15 +16,29 @@ def tree(tables: DataFrame) -> DataFrame:
     """(table_id, parent_id, root_id, base_depth): the root of each table and the depth its rows start from.
 
     ``tables`` is (table_id, parent_id); a nested table's rows begin three levels below those of its parent
-    (row, cell, reference). The recursion is a recursive query; tables in a cycle have no root and are left out.
+    (row, cell, reference). The tree is walked a level at a time, each a join on unique keys that is cut, so
+    neither rows nor levels meet the limits of a recursive query; tables in a cycle have no root and are left out.
     """
-    tables.createOrReplaceTempView("lamina_tree")
-    return tables.sparkSession.sql(f"""
-        WITH RECURSIVE down(table_id, parent_id, root_id, base_depth) AS (
-            SELECT table_id, parent_id, table_id, CAST(0 AS BIGINT) FROM lamina_tree WHERE parent_id IS NULL
-            UNION ALL
-            SELECT t.table_id, t.parent_id, d.root_id, d.base_depth + 3 FROM down d JOIN lamina_tree t ON t.parent_id = d.table_id WHERE d.base_depth < {3 * MOST_DEPTH})
-        SELECT * FROM down""")
+    level = cut(tables.where("parent_id IS NULL").select("table_id", "parent_id", F.col("table_id").alias("root_id"), F.lit(0).cast("long").alias("base_depth")))
+    found = level
+    for _ in range(MOST_DEPTH):
+        above = level.select(F.col("table_id").alias("parent_id"), "root_id", (F.col("base_depth") + 3).alias("base_depth"))
+        level = cut(tables.where("parent_id IS NOT NULL").join(above, "parent_id").select("table_id", "parent_id", "root_id", "base_depth"))
+        if level.isEmpty():
+            break
+        found = found.unionByName(level)
+    return found
+
+
+def below(parents: DataFrame, tops: DataFrame) -> DataFrame:
+    """(table_id): the tables that lie somewhere below any of ``tops`` (table_id); ``parents`` is (table_id, parent_id)."""
+    level, found = tops.select("table_id"), None
+    for _ in range(MOST_DEPTH):
+        level = cut(parents.join(level.select(F.col("table_id").alias("parent_id")), "parent_id").select("table_id").distinct())
+        if level.isEmpty():
+            break
+        found = level if found is None else found.unionByName(level)
+    return (level if found is None else found).distinct()
 
 
 def flatten(tables: DataFrame, cells: DataFrame) -> DataFrame:
