@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import decontaminate, line_dedup, packing, quality_rules, simhash
+from lamina.llm import decontaminate, line_dedup, near_copies as copies, packing, quality_rules
 from lamina.llm.common import cut, table
 
 
@@ -19,8 +19,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup (op 7): one document of each group stays."""
-    return simhash.one_of_each(docs)
+    """Near-dedup on five-word shingles: one document of each group of Jaccard similarity 0.8 stays."""
+    return copies.one_of_each(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -226,8 +226,13 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group, with its own columns: the smallest doc_id (null last), then the smallest text hash."""
-    groups = cut(near_groups(docs, doc_id, text))
+    """One row of each group of near_groups, with its own columns."""
+    return pick_one(docs, near_groups(docs, doc_id, text), doc_id, text)
+
+
+def pick_one(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group (id, body, label): the smallest doc_id (null last), then the smallest text hash."""
+    groups = cut(groups)
     best = groups.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "body")).alias("best"))
     again = groups.groupBy("id", "body").agg(F.count("*").alias(blank("d_n"))).withColumnsRenamed({"id": blank("d_id"), "body": blank("d_body")})
     pick = best.select("best.id", "best.body")
