@@ -1,11 +1,10 @@
 """Quality rules (op 10): text rules per document, and lines that too many documents of a host share.
 
 Cross-document line frequency. Lines are normalised (lower case, white space collapsed) and hashed. For each
-host (``source``) and line the distinct documents are counted; a document's identity there is its longest
-other line, so exact and near copies of one text count once (they are the deduplicators' business) while
-boilerplate, which stands between different lines everywhere, counts in full. A line is removed if it is in
-more than ``max_docs`` documents of the host and in more than ``max_share`` of them. A document is rejected if
-the rules of its own text fail, or if it is depleted: under ``min_left`` of its words remain after the removal.
+host (``source``) and line the distinct documents are counted, by a hash of the whole text, so exact copies
+count once; the documents of the host are counted alike. A line is removed if it is in more than ``max_docs``
+documents of the host and in more than ``max_share`` of them. A document is rejected if the rules of its own
+text fail, or if it is depleted: under ``min_left`` of its words remain after the removal.
 
 Defined results: a null text has no words and fails the rules; null hosts are one host; equal rows get equal
 verdicts; an empty table gives an empty result; all columns of the input stay, whatever their names.
@@ -73,13 +72,10 @@ def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def frequent_lines(docs: DataFrame, text: str, source: str, max_docs: int, max_share: float) -> DataFrame:
     """(host, lines): the hashes of the lines above the limits of each host that has any."""
-    hosts = docs.select(F.xxhash64(F.col(source)).alias("host"), F.transform(normal_lines(F.col(text)), lambda x: F.struct(F.length(x).alias("n"), F.xxhash64(x).alias("h"))).alias("lines"))
-    per_host = hosts.groupBy("host").agg(F.count("*").alias("n_docs"))
-    longest = hosts.withColumn("first", F.array_max("lines"))
-    second = longest.withColumn("second", F.array_max(F.filter("lines", lambda x: x["h"] != F.col("first")["h"])))
-    rows = second.select("host", "first", "second", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("line"))
-    known = F.when(F.col("line") == F.col("first")["h"], F.coalesce(F.col("second")["h"], F.lit(0))).otherwise(F.col("first")["h"])
-    counted = rows.select("host", "line", known.alias("known")).distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+    hosts = docs.select(F.xxhash64(F.col(source)).alias("host"), F.xxhash64(F.col(text)).alias("body"), F.transform(normal_lines(F.col(text)), lambda x: F.xxhash64(x)).alias("lines"))
+    per_host = hosts.select("host", "body").distinct().groupBy("host").agg(F.count("*").alias("n_docs"))
+    rows = hosts.select("host", "body", F.explode(F.array_distinct("lines")).alias("line"))
+    counted = rows.distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
     above = counted.where(F.col("n") > max_docs).join(small(per_host), "host").where(F.col("n") > F.col("n_docs") * max_share)
     return above.groupBy("host").agg(F.collect_set("line").alias("lines"))
 
