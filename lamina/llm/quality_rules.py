@@ -4,7 +4,8 @@ Cross-document line frequency. Lines are normalised (lower case, white space col
 host (``source``) and line the distinct documents are counted, by a hash of the whole text, so exact copies
 count once; the documents of the host are counted alike. A line is removed if it is in more than ``max_docs``
 documents of the host and in more than ``max_share`` of them. A document is rejected if the rules of its own
-text fail, or if it is depleted: under ``min_left`` of its words remain after the removal.
+text fail, or if it is depleted: under ``min_left`` of its words remain after the removal. Kept documents go on
+without the removed lines.
 
 Defined results: a null text has no words and fails the rules; null hosts are one host; equal rows get equal
 verdicts; an empty table gives an empty result; all columns of the input stay, whatever their names.
@@ -34,8 +35,13 @@ ROW, WORDS, HASHES, WINDOWS, LINES, HOST = (blank(x) for x in ("row", "words", "
 
 def normal_lines(text: Column) -> Column:
     """Lines of a text in lower case, with white space collapsed; lines without a word are left out."""
+    return F.filter(all_lines(text), lambda line: line != "")
+
+
+def all_lines(text: Column) -> Column:
+    """normal_lines with the lines without a word, in the places of the text's own lines."""
     flat = F.regexp_replace(F.lower(text), r"[ \t\x0b\f\r]{2,}|[\t\x0b\f\r]", " ")
-    return F.filter(F.transform(F.split(flat, "\n"), lambda line: F.btrim(line)), lambda line: line != "")
+    return F.transform(F.split(flat, "\n"), lambda line: F.btrim(line))
 
 
 def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -83,7 +89,7 @@ def frequent_lines(docs: DataFrame, text: str, source: str, max_docs: int, max_s
 def judge(
     docs: DataFrame, text: str = "text", source: str = "source", max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT
 ) -> DataFrame:
-    """docs as one struct column, with the figures of text_stats, n_removed_words, and kept."""
+    """docs as one struct column, with the figures of text_stats, n_removed_words, kept_text, and kept."""
     removed = small(frequent_lines(docs, text, source, max_docs, max_share))
     stats = text_stats(docs, text)
     row = F.col(ROW)
@@ -97,15 +103,19 @@ def judge(
         F.lit(0).cast("long"),
         lambda acc, x: acc + x["n"],
     )
-    counted = joined.withColumn("n_removed_words", gone).drop(LINES)
+    left_lines = F.zip_with(F.split(row[text], "\n"), all_lines(row[text]), lambda x, y: F.when(~F.array_contains(F.col(LINES), F.xxhash64(y)), x))
+    kept_text = F.when(F.col(LINES).isNull(), row[text]).otherwise(F.array_join(left_lines, "\n"))
+    counted = joined.withColumn("n_removed_words", gone).withColumn("kept_text", kept_text).drop(LINES)
     left = F.col("n_words") - F.col("n_removed_words")
     depleted = (F.col("n_removed_words") > 0) & (left < F.col("n_words") * min_left)
     return counted.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
 def keep(docs: DataFrame, **limits) -> DataFrame:
-    """The documents that the rules keep, with their own columns."""
-    return where_fenced(judge(docs, **limits), F.col("kept")).select(f"{ROW}.*")
+    """The documents that the rules keep, with their own columns, the text without the lines above the limits."""
+    text = limits.get("text", "text")
+    kept = where_fenced(judge(docs, **limits), F.col("kept"))
+    return kept.select(*[(F.col("kept_text") if n == text else F.col(ROW)[n]).alias(n) for n in docs.columns])
 
 
 def op10_quality_rules(spark, sf_dir) -> DataFrame:

@@ -22,3 +22,9 @@ def test_two_shared_lines_longer_than_the_own_ones_count_in_full(spark):
 def test_exact_copies_count_once_and_so_do_the_documents_of_the_host(spark):
     rows = [(i, f"{NOTICE}\n{DISCLAIMER}", "h") for i in range(400)] + [(1000 + i, f"{NOTICE}\nown {i}", "h") for i in range(12)]
     assert set(kept_of(spark, rows)) == set(range(400))
+
+
+def test_kept_texts_go_on_without_the_removed_lines(spark):
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    rows = [(i, f"  {NOTICE.upper()} \n\n{own(i)}\n{own(i)[::-1]}", "h") for i in range(40)] + [(100, f"{NOTICE}\n{own(100)}", None)]
+    assert kept_of(spark, rows) == {i: f"\n{own(i)}\n{own(i)[::-1]}" for i in range(40)} | {100: rows[-1][1]}
