@@ -36,8 +36,8 @@ def corrected(*passes):
 
 
 def toc_match(spark, sf_dir):
-    """Benchmark passages as contents entries, met with the lines of every document of the first source."""
-    lines = read(spark, sf_dir, "documents").where("source = 'src0'").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "line"))
+    """Every fifth line of each document as a contents entry, met with the lines of the same document."""
+    lines = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("ord", "line"))
     blocks = lines.select("doc_id", F.col("ord").cast("long").alias("ord"), T.title_key(F.col("line")).alias("title_key"))
     heads = blocks.where("ord % 5 = 1").select("doc_id", F.col("ord").alias("entry"), "title_key")
     return folds.match_entries(heads, blocks)
