@@ -11,22 +11,38 @@ from lamina.runtime import ship as ship
 #: ASCII white space: what ``[^\x20\x09-\x0D]+`` leaves out of words.
 SPACE = " \t\n\x0b\f\r"
 SPACE_RUN = r"[ \t-\r]+"
-#: A side of a join is broadcast only after it was counted and holds no more rows than this.
-BROADCAST_ROWS = 200_000
+#: A side of a join is broadcast only after it was measured and takes no more bytes than this.
+BROADCAST_BYTES = 32_000_000
+#: What a row of a broadcast side takes besides its texts and arrays: the row, its columns, its place in the hash table.
+ROW_BYTES = 96
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, cut and counted; with a broadcast hint if it has at most ``rows`` rows.
+def bytes_of(held: DataFrame) -> int:
+    """About the bytes that the rows take in memory."""
+    sizes = []
+    for field in held.schema.fields:
+        kind, column = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind in ("string", "binary"):
+            sizes.append(F.octet_length(column))
+        elif kind == "array":
+            sizes.append(F.when(column.isNotNull(), F.size(column)) * 8)
+    each = [F.coalesce(F.sum(x.cast("long")), F.lit(0)) for x in sizes]
+    found = held.agg(F.count("*").alias("n"), *[x.alias(f"s{i}") for i, x in enumerate(each)]).first()
+    return found[0] * ROW_BYTES + sum(found[1:])
+
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df, cut and measured; with a broadcast hint if it takes at most ``most`` bytes.
 
     Beyond the bound the frame is returned without a hint and the join shuffles: the exchange then stands
     directly below the join, so adaptive execution can split a hot key.
     """
     held = cut(df)
-    return F.broadcast(held) if held.count() <= rows else held
+    return F.broadcast(held) if bytes_of(held) <= most else held
 
 
 def where_fenced(df: DataFrame, condition: Column) -> DataFrame:

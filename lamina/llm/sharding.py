@@ -5,13 +5,16 @@ memory with Fisher-Yates draws from a generator seeded with (seed, bucket). Buck
 order of all records; shard s takes the places from ceil(s * n / shards) on, so counts differ by one at most
 (law ``rows``).
 
-Defined results: a null text has no bytes (size 1, checksum 0); repeated rows are records of their own, as
-the hash also takes the row's place in its partition; an empty table gives an empty result; all columns stay.
-
-Scale: the number of buckets follows from the bytes of all texts, so a bucket fits in memory whatever the
-corpus; no key decides a bucket, so no hot key, source or group of copies can fill one. The counts of the
-buckets, a row per bucket, are summed up in a window and broadcast. Rows move once. The row's place is that of
-the file split, so a lost executor's work is repeated alike.
+Defined results: a null text has no bytes (size 1, checksum 0); empty and very long texts are records like any
+other; repeated rows are records of their own, told apart by their place; ties do not arise, as places are
+unique; an empty table gives an empty result; all columns stay, in a struct, so no name can clash.
+
+Scale: the input is evaluated once, with a number for each row, and written to the checkpoint folder; all later
+steps read that, so neither a shuffled input nor a lost executor can change a number between them. The number
+of buckets follows from the bytes of all texts, so a bucket is bounded whatever the corpus; no key decides a
+bucket, so no hot key, source or group of copies can fill one. What is permuted in Python are the numbers of
+the rows (8 bytes each), not the rows; texts stay in the JVM and meet their places in one sort-merge join on
+the number, which is unique. Every place is found by an aggregate, never by a window over all rows.
 """
 
 from __future__ import annotations
@@ -21,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.common import BROADCAST_ROWS, blank, ship, table
+from lamina.llm.common import blank, cut, ship, small, table
 
 SHARDS = 16
 SEED = 20240229
 BUCKET_BYTES = 64_000_000
+#: Buckets whose counts are summed up in one window; the sums of these spans are few.
+SPAN = 4096
 
-ROW, KEY, BUCKET, PLACE = (blank(x) for x in ("row", "key", "bucket", "place"))
+ROW, NUMBER, BUCKET, PLACE = (blank(x) for x in ("row", "number", "bucket", "place"))
 
 
 def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
@@ -39,35 +44,43 @@ def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
     return np.array(order, dtype=np.int64)
 
 
+def firsts(counts: DataFrame) -> DataFrame:
+    """(bucket, first): the records in the buckets before each, from (bucket, n)."""
+    spans = counts.withColumn("span", F.floor(F.col(BUCKET) / SPAN))
+    before = lambda by: F.sum("n").over(by) - F.col("n")
+    tops = spans.groupBy("span").agg(F.sum("n").alias("n")).select("span", before(Window.orderBy("span")).alias("base"))
+    inside = spans.select("span", BUCKET, before(Window.partitionBy("span").orderBy(BUCKET)).alias("inside"))
+    return inside.join(tops, "span").select(BUCKET, (F.col("base") + F.col("inside")).alias("first"))
+
+
 def shuffle(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """docs as one struct column, with shard and slot (from 0 without gaps in each shard)."""
+    """docs as one struct column, with shard and slot (from 0 without gaps in each shard).
+
+    ``doc_id`` may be of any type; the order does not depend on it.
+    """
     spark = docs.sparkSession
     ship(spark)
-    n, size = docs.agg(F.count("*"), F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1)).first()
-    buckets = max(-(-(size or 0) // bucket_bytes), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    key = F.xxhash64(F.lit(seed), F.col(doc_id), F.monotonically_increasing_id())
-    keyed = docs.select(F.struct("*").alias(ROW), key.alias(KEY)).withColumn(BUCKET, F.pmod(F.xxhash64(KEY), F.lit(buckets)))
-
-    counts = keyed.groupBy(BUCKET).agg(F.count("*").alias("n"))
-    first = counts.select(BUCKET, (F.sum("n").over(Window.orderBy(BUCKET)) - F.col("n")).alias("first"))
-
-    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        bucket = key[0].as_py()
-        order = np.argsort(rows.column(KEY).to_numpy(), kind="stable")[fisher_yates(rows.num_rows, seed, bucket)]
-        taken = rows.take(pa.array(order))
-        return pa.table([taken.column(ROW), taken.column(BUCKET), pa.array(np.arange(rows.num_rows))], names=[ROW, BUCKET, PLACE])
-
-    schema = keyed.select(ROW, BUCKET, F.lit(0).cast("long").alias(PLACE)).schema
-    mixed = keyed.groupBy(BUCKET).applyInArrow(run, schema)
-    placed = mixed.join(F.broadcast(first) if buckets <= BROADCAST_ROWS else first, BUCKET)
-    numbered = placed.select(ROW, (F.col("first") + F.col(PLACE)).alias("at"))
+    rows = cut(docs.select(F.struct("*").alias(ROW), F.monotonically_increasing_id().alias(NUMBER)))
+    size = F.coalesce(F.octet_length(F.col(ROW)[text]), F.lit(0)).cast("long") + 1
+    n, total = rows.agg(F.count("*"), F.sum(size)).first()
+    buckets = max(-(-(total or 0) // bucket_bytes), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def run(key: tuple[pa.Scalar, ...], bucket: pa.Table) -> pa.Table:
+        numbers = np.sort(bucket.column(NUMBER).to_numpy())[fisher_yates(bucket.num_rows, seed, key[0].as_py())]
+        return pa.table([pa.array(numbers), pa.array(np.full(len(numbers), key[0].as_py())), pa.array(np.arange(len(numbers)))], names=[NUMBER, BUCKET, PLACE])
+
+    scattered = rows.select(NUMBER, F.pmod(F.xxhash64(F.lit(seed), NUMBER), F.lit(buckets).cast("long")).alias(BUCKET))
+    mixed = cut(scattered.groupBy(BUCKET).applyInArrow(run, f"`{NUMBER}` long, `{BUCKET}` long, `{PLACE}` long"))
+    first = small(firsts(mixed.groupBy(BUCKET).agg(F.count("*").alias("n"))))
+    places = mixed.join(first, BUCKET).select(NUMBER, (F.col("first") + F.col(PLACE)).alias("at"))
+    numbered = rows.join(places.hint("merge"), NUMBER).select(ROW, "at")
     sharded = numbered.select(ROW, "at", F.expr(f"at * {shards} div {max(n, 1)}").alias("shard"))
     slot = F.col("at") - F.expr(f"(shard * {max(n, 1)} + {shards - 1}) div {shards}")
     return sharded.select(ROW, F.col("shard").cast("int").alias("shard"), slot.alias("slot"))
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:
-    """Write each shard as Parquet files under ``path/shard=<s>``, rows in slot order."""
+    """Write each shard as Parquet files under ``path/shard=<s>``, rows in slot order; texts move once more for it."""
     rows = shuffled.select("shard", "slot", f"{ROW}.*")
     rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 

@@ -40,3 +40,20 @@ def test_query_digest(spark, tmp_path, odd_docs):
         assert r.law == "rows" and r.grown_shard is None
     texts = Counter((r.doc_id, r.size, r.text_crc32) for r in sharding.op2_sharding(spark, str(tmp_path)).collect())
     assert texts == Counter((d.doc_id, len((d.text or "").encode()) + 1, zlib.crc32((d.text or "").encode())) for d in odd_docs.collect())
+
+
+def test_nothing_is_lost_from_inputs_that_are_no_plain_scan(spark):
+    docs = spark.range(1200).selectExpr("id % 1000 as doc_id", "repeat(concat('w', id % 1000, ' '), cast(id % 40 as int)) as text")
+    for source in (docs.repartition(7), docs.where("doc_id % 3 > 0").repartition(5, "doc_id"), docs.dropDuplicates(["doc_id"])):
+        source = source.withColumn("x", source["doc_id"] * 2)
+        rows = sharding.shuffle(source, shards=16, bucket_bytes=500).collect()
+        assert Counter(r[ROW].doc_id for r in rows) == Counter(r.doc_id for r in source.select("doc_id").collect())
+        sizes = Counter(r.shard for r in rows)
+        assert max(sizes.values()) - min(sizes.values()) <= 1 and len(sizes) == 16
+        for s in sizes:
+            assert sorted(r.slot for r in rows if r.shard == s) == list(range(sizes[s]))
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("a", "x"), ("b", None), ("b", None)], "doc_id string, text string")
+    assert Counter(r[ROW].doc_id for r in sharding.shuffle(docs, shards=2).collect()) == {"a": 1, "b": 2}
