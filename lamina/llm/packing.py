@@ -16,6 +16,8 @@ round would gain nothing. The way from a bin to its sequence is joined once, on
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -40,13 +42,25 @@ SLACK = 0.01
 SHARD_PIECES = 100_000
 GROUP_ROWS = 20_000
 #: Pieces of text whose ids a worker remembers.
-REMEMBER = 200_000
-#: Characters of text that a worker encodes at a time.
-SLICE_CHARS = 3_000_000
+REMEMBER = 300_000
+#: Bytes of text that a worker encodes at a time; a piece of text met twice in them is looked at once.
+SLICE_BYTES = 8_000_000
 
 #: Texts of these characters only are split here; others by the tokenizer itself.
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+#: The pieces of words that stand on lines of their own, and the ends of the lines.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+|\n")
+#: The steps of a tokenizer file before its model, for which PIECES gives the same pieces.
+STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 
 
 class Remembered(dict):
@@ -59,24 +73,34 @@ class Remembered(dict):
 
 
 class Encoder:
-    """Token ids of texts. Pieces of plain text are encoded once each and remembered, within a bound."""
+    """Token ids of texts by any tokenizer file.
+
+    If the file's steps before its model are STEPS, plain text is split here, and its pieces are encoded once
+    each and remembered, within a bound. All other text, and all text of other files, goes through the tokenizer whole.
+    """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        steps = json.loads(self.whole.to_str())
+        self.marks = [x["content"] for x in steps["added_tokens"]]
+        self.splits = all(steps[k] == v for k, v in STEPS.items()) and steps["model"]["type"] == "BPE" and not steps["model"]["dropout"]
         self.model = Tokenizer(self.whole.model)
         # Byte-level alphabet: visible bytes stand for themselves, the others for the code points from 256 on.
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in seen]
         self.letters = {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
-        self.known, self.hits = Remembered(), np.zeros(0, np.int64)
+        # The first known piece is the end of a line, which has no ids.
+        self.known, self.hits = Remembered({"\n": 0}), np.zeros(1, np.int64)
         self.known.new = []
-        self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def forget(self) -> None:
         """Keep only the pieces that were met most often, half of the bound at most."""
+        self.hits[0] = np.iinfo(np.int64).max
         names, keep = list(self.known), np.argsort(-self.hits, kind="stable")[: REMEMBER // 2]
         keep = keep[self.hits[keep] > 1]
         self.flat, self.sizes = gather(self.flat, self.starts[keep], self.sizes[keep]), self.sizes[keep]
@@ -89,35 +113,42 @@ class Encoder:
         if not new:
             return
         letters = self.letters
-        found = self.model.encode_batch_fast(["".join([letters[b] for b in p.encode()]) for p in new], add_special_tokens=False)
-        ids = [x.ids for x in found]
+        # The characters of a plain ASCII piece are visible, so they are their own letters.
+        spelled = [p if p.isascii() else "".join([letters[b] for b in p.encode()]) for p in new]
+        ids = [x.ids for x in self.model.encode_batch_fast(spelled, add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), dtype=np.uint32)])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))])
+
+    def plain(self, text: str | None) -> bool:
+        return self.splits and text is not None and PLAIN.fullmatch(text) is not None and not any(m in text for m in self.marks)
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text, the end id last."""
-        plain = [text is not None and PLAIN.fullmatch(text) is not None and "<|" not in text for text in texts]
+        """The ids of each text, the end id last; views of one array that holds them all."""
+        plain = [self.plain(text) for text in texts]
         words = pc.utf8_split_whitespace(pc.utf8_lower(pa.array([t if p else "" for t, p in zip(texts, plain, strict=True)], pa.large_string())))
         bounds = words.offsets.to_numpy()
         coded = words.flatten().dictionary_encode()
+        del words
         if len(self.known) > REMEMBER:
             self.forget()
         # Pieces of each distinct word, then ids of each distinct word, then ids of the words as they stand.
-        parts = [PIECES.findall(w) for w in coded.dictionary.to_numpy(zero_copy_only=False)]
-        number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), dtype=np.int64)
-        n_parts = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        del parts
+        found = PIECES.findall("\n".join([*coded.dictionary.to_pylist(), ""]))
+        number = np.fromiter(map(self.known.__getitem__, found), dtype=np.int64, count=len(found))
+        del found
         self.learn()
         self.hits = np.bincount(number, minlength=len(self.known)) + np.r_[self.hits, np.zeros(len(self.known) - len(self.hits), np.int64)]
-        word_ids = gather(self.flat, self.starts[number], self.sizes[number])
-        ends = np.r_[0, np.cumsum(self.sizes[number])][np.cumsum(n_parts)]
+        # One more word, the last, has the end id alone; it follows the words of each text.
+        word_ids = np.append(gather(self.flat, self.starts[number], self.sizes[number]), np.uint32(END))
+        ends = np.append(np.cumsum(self.sizes[number])[number == 0], len(word_ids))
         sizes = np.diff(ends, prepend=0)
-        index = coded.indices.to_numpy()
-        ids, stops = gather(word_ids, (ends - sizes)[index], sizes[index]), np.r_[0, np.cumsum(sizes[index])][bounds]
+        index = np.insert(coded.indices.to_numpy(), bounds[1:], len(sizes) - 1)
+        n_ids = sizes[index]
+        ids = gather(word_ids, (ends - sizes)[index], n_ids)
+        stops = np.r_[0, np.cumsum(n_ids)][bounds + np.arange(len(bounds))]
         for text, own, first, last in zip(texts, plain, stops[:-1].tolist(), stops[1:].tolist(), strict=True):
-            yield np.append(ids[first:last] if own else np.array(self.whole.encode(text or "", add_special_tokens=False).ids, dtype=np.uint32), np.uint32(END))
+            yield ids[first:last] if own else np.array([*self.whole.encode(text or "", add_special_tokens=False).ids, END], dtype=np.uint32)
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -159,36 +190,41 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
     """Pieces packed within their partition: id, piece, start, length, ids_crc32, bin, offset, fill (and ids)."""
     ship(docs.sparkSession)
     names = ["id", "piece", "start", "length", "ids_crc32", "bin", "offset", "fill", *["ids"] * with_ids]
+    most = SHARD_PIECES if not with_ids else SHARD_PIECES // 20
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, held, number = (TaskContext.get().partitionId() + 1) << 40, [], 0
+        base, held, owners, number, crc32 = (TaskContext.get().partitionId() + 1) << 40, [], [], 0, zlib.crc32
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_CHARS
-            cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(ids)]
+            owner, texts = batch.column(0), batch.column(1)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
             for first, last in zip(cuts, cuts[1:]):
-                for doc, tokens in zip(ids[first:last], encoder(path).encode(texts.slice(first, last - first).to_pylist()), strict=True):
+                counts = []
+                for tokens in encoder(path).encode(texts.slice(first, last - first).to_pylist()):
                     for start in range(0, len(tokens), capacity):
                         part = tokens[start : start + capacity]
-                        held.append((doc, start // capacity, start, len(part), zlib.crc32(part.astype("<u4").tobytes()), *([part.astype(np.int32)] if with_ids else [])))
-                if len(held) >= (SHARD_PIECES if not with_ids else SHARD_PIECES // 20):
-                    out, number = packed(held, base, number)
-                    held = []
+                        held.append((start // capacity, start, len(part), crc32(part), *([part.astype(np.int32)] if with_ids else [])))
+                    counts.append(-(-len(tokens) // capacity))
+                owners.append(owner.take(pa.array(np.repeat(np.arange(first, last), counts))))
+                if len(held) >= most:
+                    out, number = packed(held, owners, base, number)
+                    held, owners = [], []
                     yield out
         if held:
-            yield packed(held, base, number)[0]
+            yield packed(held, owners, base, number)[0]
 
-    def packed(held: list[tuple], base: int, number: int) -> tuple[pa.RecordBatch, int]:
+    def packed(held: list[tuple], owners: list[pa.Array], base: int, number: int) -> tuple[pa.RecordBatch, int]:
         columns = [list(x) for x in zip(*held, strict=True)]
-        bins, offsets, fills = best_fit(np.array(columns[3]), capacity)
-        found = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), *(pa.array(x, pa.int64()) for x in columns[2:5])]
+        bins, offsets, fills = best_fit(np.array(columns[2]), capacity)
+        found = [pa.concat_arrays(owners), pa.array(columns[0], pa.int32()), *(pa.array(x, pa.int64()) for x in columns[1:4])]
         found += [pa.array(bins + (base + number)), pa.array(offsets), pa.array(np.array(fills)[bins])]
         if with_ids:
-            found.append(pa.array(columns[5], pa.list_(pa.int32())))
+            found.append(pa.array(columns[4], pa.list_(pa.int32())))
         return pa.record_batch(found, names=names), number + len(fills)
 
-    schema = "id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill long" + ", ids array<int>" * with_ids
-    return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, schema)
+    own = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
+    schema = f"id {own.schema['id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill long" + ", ids array<int>" * with_ids
+    return own.mapInArrow(run, schema)
 
 
 def merge_round(bins: DataFrame, groups: int, number: int, capacity: int) -> DataFrame:
