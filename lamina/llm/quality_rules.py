@@ -124,15 +124,15 @@ def op10_quality_rules(spark, sf_dir) -> DataFrame:
 
 
 OP10_SQL = rf"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, chr(0)) AS host, row_number() OVER () AS row_no FROM documents),
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce('t' || text, '') AS orig, coalesce(source, chr(0)) AS host, row_number() OVER () AS row_no FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS full_lines FROM d),
 win AS (SELECT row_no, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS body FROM (SELECT row_no, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM w WHERE len(words) >= {WINDOW})),
 again AS (SELECT row_no, i FROM (SELECT *, count(*) OVER (PARTITION BY row_no, body) AS n FROM win) WHERE n > 1),
 rep AS (SELECT row_no, count(DISTINCT p) AS n_repeat_words FROM (SELECT row_no, unnest(range(i, i + {WINDOW})) AS p FROM again) GROUP BY row_no),
 l AS (SELECT row_no, host, unnest(list_filter(list_transform(string_split(regexp_replace(lower(text), '[ \t\x0b\f\r]+', ' ', 'g'), chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')) AS line FROM w),
-known AS (SELECT DISTINCT a.host, a.line, coalesce(max((length(b.line), b.line)) FILTER (b.line <> a.line), (0, '')) AS k FROM l a JOIN l b ON b.row_no = a.row_no GROUP BY a.host, a.row_no, a.line),
-hosts AS (SELECT host, count(*) AS n_docs FROM d GROUP BY host),
-above AS (SELECT k.host, k.line FROM known k JOIN hosts h ON h.host = k.host GROUP BY k.host, k.line, h.n_docs HAVING count(*) > {MAX_DOCS} AND count(*) > h.n_docs * {MAX_SHARE}),
+bodies AS (SELECT row_no, host, sha256(orig) AS body FROM d),
+hosts AS (SELECT host, count(DISTINCT body) AS n_docs FROM bodies GROUP BY host),
+above AS (SELECT l.host, l.line FROM l JOIN bodies b USING (row_no) JOIN hosts h ON h.host = l.host GROUP BY l.host, l.line, h.n_docs HAVING count(DISTINCT b.body) > {MAX_DOCS} AND count(DISTINCT b.body) > h.n_docs * {MAX_SHARE}),
 gone AS (SELECT l.row_no, sum(len(string_split(l.line, ' '))) AS n FROM l JOIN above a ON a.host = l.host AND a.line = l.line GROUP BY l.row_no),
 f AS (SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(full_lines) - len(list_distinct(full_lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words
