@@ -1,8 +1,13 @@
-"""Near copies by word shingles: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+"""Near copies by word shingles: SimHash near-dedup (op 7) with an exact Jaccard similarity of 0.8 or more.
 
-Candidates. Each distinct text has 25 MinHash bands of 5 values; two texts of similarity s share a band with
-probability 1 - (1 - s^5)^25, which is 0.99995 at 0.8. Texts that share a band are candidates of one cluster:
-each is tied to the smallest text of each of its bands, so ties grow with the rows, not with pairs.
+The distance of two SimHash fingerprints says little about a similarity near 0.8 (some ten of 64 bits differ,
+which no covering code of short radius finds), so here the operator's links are candidates only, others join
+them, and all are verified.
+
+Candidates. (1) Fingerprints of five-word shingles that op 7 links through its anchors, equal ones included.
+(2) Each distinct text has 25 MinHash bands of 5 values; two texts of similarity s share a band with
+probability 1 - (1 - s^5)^25, which is 0.99995 at 0.8. Texts that share a band are tied to the smallest text of
+the band, so ties grow with the rows, not with pairs.
 
 Verification. A cluster's texts meet in a task, where a breadth-first search links those whose exact similarity
 reaches the threshold. Clusters of over ``split`` texts are cut into buckets and every pair of buckets is
@@ -10,7 +15,8 @@ compared in a group of its own: no pair is left out, and memory is bounded, but
 of its buckets. Groups are the components of the verified links.
 
 Defined results: texts of equal words are one text, blank and null ones among them; fewer words than a shingle
-make one shingle; an empty table gives an empty result.
+make one shingle; very long texts are shingled whole; repeated rows are one text; an empty table gives an empty
+result; ids may be of any type; other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.common import cut, ship, small, words_of
+from lamina.llm import simhash
 from lamina.llm.simhash import SEED, components, pick_one
 
 SHINGLE = 5
@@ -36,11 +42,7 @@ MIXERS = np.random.default_rng(SEED + 1).integers(0, 2**64, (BANDS, VALUES), dty
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """The distinct hashes of a text's shingles; none without words."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    runs = map(b" ".join, zip(*(words[i:] for i in range(min(size, len(words)))), strict=False))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(run, SEED) for run in runs), dtype=np.uint64))
+    return np.unique(simhash.shingle_hashes(text, size))
 
 
 def bands(own: np.ndarray) -> np.ndarray:
@@ -81,16 +83,18 @@ def verified(nodes: np.ndarray, sets: list[np.ndarray], similar: float = SIMILAR
 def links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, split: int = SPLIT) -> DataFrame:
     """(a, b): verified edges that connect the near copies among texts (node, text)."""
 
-    def band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                nodes, found = [], [np.zeros(0, dtype=np.uint64)]
+                nodes, fps, found = [], [], [np.zeros(0, dtype=np.uint64)]
                 for node, text in zip(batch.column(0)[at : at + 1000].to_pylist(), batch.column(1)[at : at + 1000], strict=True):
-                    own = shingles(text.as_py(), shingle)
+                    own = simhash.shingle_hashes(text.as_py(), shingle)
                     if len(own):
                         nodes.append(node)
-                        found.append(bands(own))
-                yield pa.record_batch([pa.array(np.repeat(np.array(nodes, dtype=np.int64), BANDS)), pa.array(np.concatenate(found).view(np.int64))], names=["node", "band"])
+                        fps.append(simhash.bits_of(own))
+                        found.append(bands(np.unique(own)))
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1) * BANDS, pa.int32()), pa.array(np.concatenate(found).view(np.int64)))
+                yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), listed], names=["node", "fp", "bands"])
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, nodes, sets = None, [], []
@@ -111,9 +115,18 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, sp
 
     spark = texts.sparkSession
     ship(spark)
-    rows = cut(texts.mapInArrow(band_rows, "node long, band long").distinct())
-    least = rows.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("band", "least")
-    ties = rows.join(small(least), "band").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    rows = cut(texts.mapInArrow(signed, "node long, fp long, bands array<bigint>").dropDuplicates(["node"]))
+    # Texts that share a band are tied to the smallest of them.
+    each = rows.select("node", F.explode("bands").alias("band"))
+    least = each.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("band", "least")
+    ties = each.join(small(least), "band").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    # Texts of one fingerprint are tied to the smallest of them, those of linked ones to one another.
+    heads = cut(rows.groupBy("fp").agg(F.min("node").alias("head")))
+    same = rows.join(heads, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    linked = simhash.links(heads)
+    for end in "ab":
+        linked = linked.join(heads.select(F.col("fp").alias(end), F.col("head").alias(f"{end}{end}")), end)
+    ties = ties.unionByName(same).unionByName(linked.select(F.col("aa").alias("a"), F.col("bb").alias("b")))
     clusters = cut(components(ties))
     parts = clusters.groupBy("label").agg(F.ceil(F.count("*") * 2 / split).cast("int").alias("n")).select("label", F.when(F.col("n") > 2, F.col("n")).otherwise(1).alias("parts"))
     placed = small(clusters.join(small(parts), "label"))
@@ -130,7 +143,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits
     """(id, body, label) of each row: its id, a hash of its text, and a name of its group."""
     node = F.xxhash64(F.array_join(words_of(F.col(text)), " "))
     final = small(components(links(docs.select(node.alias("node"), F.col(text).alias("text")), **limits)))
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("body"), node.alias("node"))
+    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("body"), node.alias("node"))
     return rows.join(final, "node", "left").select("id", "body", F.coalesce("label", "node").alias("label"))
 
 

@@ -17,8 +17,9 @@ of its own: exact, and bounded in memory. The spanning edges are contracted by a
 small-star rounds, with joins that adaptive execution can split; nothing is collected to the driver.
 
 Defined results: null and blank texts have no words and fingerprint zero, which is linked like any other;
-the group's id is the smallest doc_id in it (nulls do not count; null if there is no other); repeated rows
-are rows of one group; an empty table gives an empty result.
+very long texts are hashed whole; the group's id is the smallest doc_id in it (nulls do not count; null if
+there is no other), of whatever type the ids are; repeated rows are rows of one group; an empty table gives an
+empty result; other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -41,16 +42,20 @@ SPLIT = 2048
 BITS = np.array([[b >> i & 1 for i in range(8)] for b in range(256)], dtype=np.int64)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The 64-bit SimHash of a text; 0 without words."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The hashes of a text's shingles, repeats included; of all words if they are fewer; none without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return digest(b" ".join(words), SEED)
+        return np.array([digest(b" ".join(words), SEED)], dtype=np.uint64)
     runs = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    hashes = np.fromiter((digest(run, SEED) for run in runs), dtype=np.uint64, count=len(words) - shingle + 1)
+    return np.fromiter((digest(run, SEED) for run in runs), dtype=np.uint64, count=len(words) - shingle + 1)
+
+
+def bits_of(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of some hashes; 0 without any."""
     if len(hashes) > 1500:
         octets = hashes.view(np.uint8).reshape(-1, 8)
         counts = np.concatenate([np.bincount(octets[:, i], minlength=256) @ BITS for i in range(8)])
@@ -59,6 +64,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The 64-bit SimHash of a text; 0 without words."""
+    return bits_of(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(id, body, fp): the id, a hash of the text and the fingerprint (as a signed long) of each row."""
 
@@ -68,8 +78,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(values.view(np.int64))], names=["id", "body", "fp"])
 
     ship(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("body"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "id long, body long, fp long")
+    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("body"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, body long, fp long")
 
 
 def anchors_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -107,7 +117,9 @@ def replicate(fps: DataFrame) -> DataFrame:
             anchor, fp, home = anchors_of(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
             yield pa.record_batch([pa.array(anchor.view(np.int64)), pa.array(fp.view(np.int64)), pa.array(home)], names=["anchor", "fp", "home"])
 
-    return fps.select("fp").mapInArrow(run, "anchor long, fp long, home boolean")
+    # Dealt out first: a few thousand fingerprints are few bytes, which adaptive execution would leave in one task.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return fps.select("fp").repartition(tasks, "fp").mapInArrow(run, "anchor long, fp long, home boolean")
 
 
 def spanning(fps: np.ndarray, threshold: int = THRESHOLD) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -185,11 +197,14 @@ def links(fps: DataFrame, split: int = SPLIT) -> DataFrame:
     return placed.mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, label): the smallest node of the component of each node that has an edge."""
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label): the smallest node of the component of each node that has an edge.
+
+    The rounds go on until nothing changes; their number grows with the logarithm of the longest chain.
+    """
     star = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct())
     state = None
-    for _ in range(rounds):
+    while True:
         both = star.unionByName(star.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = small(both.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("node"), F.least("v", "m").alias("m")))
         # Large star: each larger neighbour of a node moves to the smallest neighbour of the node.
@@ -204,7 +219,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == state:
             return star.select(F.col("v").alias("node"), F.col("u").alias("label")).unionByName(star.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct())
         state = now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def group(marked: DataFrame) -> DataFrame:
@@ -240,7 +254,7 @@ def pick_one(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text: s
     names = {n: blank(f"d_{n}") for n in ("id", "body", "n")}
     chosen = cut(chosen).hint("shuffle_hash")
     found = docs.withColumn(blank("body"), F.xxhash64(F.col(text)))
-    kept = found.join(chosen, (found[blank("body")] == chosen[names["body"]]) & found[doc_id].cast("long").eqNullSafe(chosen[names["id"]]))
+    kept = found.join(chosen, (found[blank("body")] == chosen[names["body"]]) & found[doc_id].eqNullSafe(chosen[names["id"]]))
     once = kept.where(F.col(names["n"]) == 1)
     if chosen.where(F.col(names["n"]) > 1).isEmpty():
         return once.select(*docs.columns)

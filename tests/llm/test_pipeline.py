@@ -14,10 +14,13 @@ from conftest_llm import prose
 from lamina.llm import packing
 from test_models import brute_hits
 from test_native import brute_lines, brute_stats
-from test_simhash import brute_fingerprint, brute_groups
+from test_near_copies import brute_labels
 from tokenizers import Tokenizer
 
 
+NOTICE = "all readers of this site agree to its terms and to the use of cookies by its partners"
+
+
 @pytest.fixture(scope="module")
 def corpus():
     rng = random.Random(21)
@@ -32,6 +35,8 @@ def corpus():
             lines.append(f"{prose(rng, 3)} {items[i % 5][1]} {prose(rng, 3)}")
         rows.append((i, "\n".join(lines), "en", f"s{i % 3}"))
     rows += [(100 + i, rows[i][1], "en", "s1") for i in range(8)] + [(200 + i, rows[20 + i][1] + "\n" + "x", "en", "s0") for i in range(6)]
+    # A line of over 30 documents of a host: it goes, and documents of hardly anything else go with it.
+    rows += [(400 + i, f"{prose(rng, 40)}\n{NOTICE}\n{prose(rng, 12)}", "en", "s9") for i in range(36)] + [(450 + i, f"{NOTICE}\n{prose(rng, 2)}", "en", "s9") for i in range(3)] + [(460, f"{NOTICE}\n{prose(rng, 30)}", "en", "s8")]
     rows += [(300, "junk " * 50, "en", "s0"), (301, None, None, None), (302, "", "en", "s0"), (303, "too short", "en", None), (304, prose(rng, 2500), "en", "s2")]
     return rows, items
 
@@ -45,13 +50,30 @@ def sf_dir(spark, corpus, tmp_path_factory):
     return at
 
 
+def brute_rules(rows):
+    """Documents that pass the rules, without the lines that over 30 distinct texts and over 1 % of those of a host have."""
+    texts, own = {}, lambda line: " ".join(line.lower().split())
+    for _, t, _, host in rows:
+        texts.setdefault(host, set()).add(t)
+    count = Counter((host, line) for host, known in texts.items() for t in known for line in {own(x) for x in (t or "").split("\n")} - {""})
+    above = {k for k, n in count.items() if n > 30 and n > 0.01 * len(texts[k[0]])}
+    kept = []
+    for i, t, _, host in rows:
+        words, *_, repeated = brute_stats(t)
+        lines = (t or "").split("\n")
+        gone = sum(len(own(x).split()) for x in lines if (host, own(x)) in above)
+        if words >= 10 and 100 * repeated <= 20 * words and not (gone and words - gone < 0.25 * words):
+            kept.append((i, "\n".join(x for x in lines if (host, own(x)) not in above)))
+    return kept
+
+
 def brute(corpus):
     rows, items = corpus
-    kept = [(i, t) for i, t, *_ in rows for s in [brute_stats(t)] if s[0] >= 10 and 100 * s[4] <= 20 * s[0]]
+    kept = brute_rules(rows)
     texts = brute_lines(kept)
     kept = [(i, texts[i]) for i, _ in kept]
-    groups = brute_groups([brute_fingerprint(t) for _, t in kept])
     first = {}
+    groups = brute_labels([t for _, t in kept])
     for (i, _), g in zip(kept, groups, strict=True):
         first[g] = min(i, first.get(g, i))
     kept = [(i, t) for i, t in kept if i in first.values()]
@@ -61,7 +83,8 @@ def brute(corpus):
 
 def test_run_as_brute_force(spark, corpus, sf_dir):
     kept, tokenizer, wanted = brute(corpus), Tokenizer.from_file(packing.TOKENIZER), Counter()
-    assert 40 < len(kept) < 80
+    assert 80 < len(kept) < 120
+    assert not any(NOTICE in t for i, t in kept if i != 460) and not {450, 451, 452} & {i for i, _ in kept}
     for i, text in kept:
         ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], dtype="<u4")
         wanted.update((i, k // 4096, k, len(ids[k : k + 4096]), zlib.crc32(ids[k : k + 4096].tobytes())) for k in range(0, len(ids), 4096))
