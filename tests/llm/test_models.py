@@ -171,11 +171,26 @@ def test_texts_without_a_word_of_any_item():
 
 
 def test_suffix_array_is_sorted():
-    probe = decontaminate.Probe([(1, " ".join(f"w{i % 7}" for i in range(60)))])
     rng = np.random.default_rng(3)
-    ranks = rng.integers(0, 8, 3000)
-    array = decontaminate.SuffixArray(ranks, probe)
-    depth = probe.per * probe.levels
-    suffixes = [tuple(ranks[p : p + depth].tolist()) for p in array.suffixes]
-    assert sorted(array.suffixes.tolist()) == np.flatnonzero(ranks).tolist()
-    assert all(a[:10] <= b[:10] for a, b in zip(suffixes, suffixes[1:]))
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 3, n)) for n in (0, 1, 900, 2000, 40)] * 2
+    shard = decontaminate.Shard(texts, 50)
+    place = [int(s) + i for s, n in zip(shard.starts, shard.counts, strict=True) for i in range(n)]
+    assert sorted(shard.suffixes.tolist()) == place and shard.counts.tolist() == [0, 1, 900, 2000, 40] * 2
+    # What follows the end of a text, a 0, is no part of its suffixes.
+    suffixes = [tuple(own[: own.index(0)] if 0 in own else own) for own in (shard.codes[p : p + 50].tolist() for p in shard.suffixes)]
+    assert all(a <= b for a, b in zip(suffixes, suffixes[1:]))
+
+
+def test_matches_of_shared_windows_do_not_multiply():
+    preamble = " ".join(f"p{i}" for i in range(10))
+    items = [(i, f"{preamble} own{i}") for i in range(300)] + [(1000 + i, "word") for i in range(300)]
+    words, spans, matches = decontaminate.search([" ".join([preamble, "x"] * 50 + ["word"] * 200)], decontaminate.Probe(items))[0]
+    assert words == 750 and len(matches) <= 50 + 200 + 600
+    assert {m[0] for m in matches} == {i for i, _ in items} and sum(b - a for a, b in spans) == 700
+
+
+def test_items_and_texts_with_ids_of_any_type(spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([("a", f"x {item} y", 1), ("b", None, 2)], "doc_id string, text string, item_id long")
+    found = decontaminate.figures(decontaminate.locate(docs, spark.createDataFrame([("q", item), (None, None)], "item_id string, text string"))).collect()
+    assert sorted((r[ROW].doc_id, r[ROW].item_id, r.n_hit, [tuple(m) for m in r.matches]) for r in found) == [("a", 1, 12, [("q", 0, 1, 12)]), ("b", 2, 0, [])]
