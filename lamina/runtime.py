@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -24,14 +25,29 @@ def ship(spark: SparkSession) -> None:
     context._lamina_shipped = True
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the session names.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder, as ``spark.checkpoint.dir`` names it.
 
-    The folder of ``spark.checkpoint.dir`` is used as the session has it. Only where neither it nor a
-    checkpoint folder is set (tests, a laptop) a local temporary one is set.
+    Only on a local master, where driver and executors are one process (tests, a laptop), a temporary one is set
+    if there is none; on a cluster such a folder would be one machine's own, so there it is an error.
     """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lamina-checkpoints-"))
+    context = spark.sparkContext
+    found = context._jsc.sc().getCheckpointDir()
+    if found.isDefined():
+        return found.get()
+    named = context.getConf().get("spark.checkpoint.dir")
+    if not named and not (context.master.startswith("local") and "local-cluster" not in context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lamina-checkpoints-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the session's checkpoint folder; it is made by whoever writes there."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the folder that the session names."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
