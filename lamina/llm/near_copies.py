@@ -10,7 +10,7 @@ probability 1 - (1 - s^5)^25, which is 0.99995 at 0.8. Texts that share a band a
 the band, so ties grow with the rows, not with pairs.
 
 Verification. A cluster's texts meet in a task, where a breadth-first search links those whose exact similarity
-reaches the threshold. Clusters of over ``split`` texts are cut into buckets and every pair of buckets is
+reaches the threshold. Clusters of over ``split`` texts or four million shingles are cut into buckets and every pair of buckets is
 compared in a group of its own: no pair is left out, and memory is bounded, but such a cluster costs the square
 of its buckets. Groups are the components of the verified links.
 
@@ -28,14 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import cut, ship, small, words_of
+from lamina.llm.common import cut, ship, small, tidy, words_of
 from lamina.llm import simhash
 from lamina.llm.simhash import SEED, components, pick_one
 
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, VALUES = 25, 5
+#: Texts and shingles of a cluster beyond which it is cut into buckets.
 SPLIT = 2048
+SPLIT_SHINGLES = 4_000_000
 FACTORS = np.random.default_rng(SEED).integers(0, 2**64, BANDS * VALUES, dtype=np.uint64) | np.uint64(1)
 MIXERS = np.random.default_rng(SEED + 1).integers(0, 2**64, (BANDS, VALUES), dtype=np.uint64) | np.uint64(1)
 
@@ -86,15 +88,17 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, sp
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                nodes, fps, found = [], [], [np.zeros(0, dtype=np.uint64)]
+                nodes, fps, sizes, found = [], [], [], [np.zeros(0, dtype=np.uint64)]
                 for node, text in zip(batch.column(0)[at : at + 1000].to_pylist(), batch.column(1)[at : at + 1000], strict=True):
                     own = simhash.shingle_hashes(text.as_py(), shingle)
                     if len(own):
                         nodes.append(node)
                         fps.append(simhash.bits_of(own))
+                        sizes.append(len(own))
                         found.append(bands(np.unique(own)))
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1) * BANDS, pa.int32()), pa.array(np.concatenate(found).view(np.int64)))
-                yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), listed], names=["node", "fp", "bands"])
+                yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), listed], names=["node", "fp", "size", "bands"])
+        tidy()
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, nodes, sets = None, [], []
@@ -108,6 +112,7 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, sp
                 sets.append(shingles(text.as_py(), shingle))
         if len(nodes) > 1:
             yield forest(nodes, sets)
+        tidy()
 
     def forest(nodes, sets):
         heads, tails = verified(np.array(nodes, dtype=np.int64), sets, similar)
@@ -115,7 +120,7 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, sp
 
     spark = texts.sparkSession
     ship(spark)
-    rows = cut(texts.mapInArrow(signed, "node long, fp long, bands array<bigint>").dropDuplicates(["node"]))
+    rows = cut(texts.mapInArrow(signed, "node long, fp long, size long, bands array<bigint>").dropDuplicates(["node"]))
     # Texts that share a band are tied to the smallest of them.
     each = rows.select("node", F.explode("bands").alias("band"))
     least = each.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("band", "least")
@@ -128,7 +133,9 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, sp
         linked = linked.join(heads.select(F.col("fp").alias(end), F.col("head").alias(f"{end}{end}")), end)
     ties = ties.unionByName(same).unionByName(linked.select(F.col("aa").alias("a"), F.col("bb").alias("b")))
     clusters = cut(components(ties))
-    parts = clusters.groupBy("label").agg(F.ceil(F.count("*") * 2 / split).cast("int").alias("n")).select("label", F.when(F.col("n") > 2, F.col("n")).otherwise(1).alias("parts"))
+    sized = clusters.join(rows.select("node", "size"), "node").groupBy("label").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    need = F.ceil(F.greatest(F.col("n") / split, F.col("size") / SPLIT_SHINGLES) * 2).cast("int")
+    parts = sized.select("label", F.when(need > 2, need).otherwise(1).alias("parts"))
     placed = small(clusters.join(small(parts), "label"))
     one = texts.join(placed, "node").groupBy("node", "label", "parts").agg(F.first("text").alias("text"))
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")

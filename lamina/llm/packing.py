@@ -21,8 +21,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import cut, ship, small, table
+from lamina.llm.common import cut, ship, small, table, tidy
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 4096
@@ -42,9 +42,9 @@ SLACK = 0.01
 SHARD_PIECES = 100_000
 GROUP_ROWS = 20_000
 #: Pieces of text whose ids a worker remembers.
-REMEMBER = 300_000
+REMEMBER = 200_000
 #: Bytes of text that a worker encodes at a time; a piece of text met twice in them is looked at once.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 
 #: Texts of these characters only are split here; others by the tokenizer itself.
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
@@ -84,9 +84,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        steps = json.loads(self.whole.to_str())
-        self.marks = [x["content"] for x in steps["added_tokens"]]
-        self.splits = all(steps[k] == v for k, v in STEPS.items()) and steps["model"]["type"] == "BPE" and not steps["model"]["dropout"]
+        steps = json.loads(Path(path).read_text())
+        self.marks = [x["content"] for x in steps.get("added_tokens") or []]
+        self.splits = all(steps.get(k) == v for k, v in STEPS.items()) and steps["model"].get("type") == "BPE" and not steps["model"].get("dropout")
         self.model = Tokenizer(self.whole.model)
         # Byte-level alphabet: visible bytes stand for themselves, the others for the code points from 256 on.
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -154,12 +154,11 @@ class Encoder:
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The runs of flat that begin at starts, one after the other."""
     ends = np.cumsum(sizes)
-    return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
-
-
-@lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    n = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(n, len(flat)) < 2**31 else np.int64  # the places are the largest arrays here
+    places = np.repeat((starts - ends + sizes).astype(kind), sizes)
+    places += np.arange(n, dtype=kind)
+    return flat[places]
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
@@ -194,13 +193,14 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, held, owners, number, crc32 = (TaskContext.get().partitionId() + 1) << 40, [], [], 0, zlib.crc32
+        encoder = None  # of this task only: the worker goes on to other stages, which need the memory
         for batch in batches:
             owner, texts = batch.column(0), batch.column(1)
             sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_BYTES
             cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
             for first, last in zip(cuts, cuts[1:]):
-                counts = []
-                for tokens in encoder(path).encode(texts.slice(first, last - first).to_pylist()):
+                counts, encoder = [], encoder or Encoder(path)
+                for tokens in encoder.encode(texts.slice(first, last - first).to_pylist()):
                     for start in range(0, len(tokens), capacity):
                         part = tokens[start : start + capacity]
                         held.append((start // capacity, start, len(part), crc32(part), *([part.astype(np.int32)] if with_ids else [])))
@@ -212,6 +212,8 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
                     yield out
         if held:
             yield packed(held, owners, base, number)[0]
+        del encoder
+        tidy()
 
     def packed(held: list[tuple], owners: list[pa.Array], base: int, number: int) -> tuple[pa.RecordBatch, int]:
         columns = [list(x) for x in zip(*held, strict=True)]
