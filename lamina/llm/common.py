@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.runtime import cut as cut
+from lamina.runtime import shared_folder as shared_folder
 from lamina.runtime import ship as ship
 
 #: ASCII white space: what ``[^\x20\x09-\x0D]+`` leaves out of words.
@@ -45,6 +50,23 @@ def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(held) if bytes_of(held) <= most else held
 
 
+def hash_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df, cut and measured, to be the hash table of a shuffled join; without the hint if a task's share is too large.
+
+    Where each row's key is unique, as here, the shares are even; beyond the bound the join sorts, and may spill.
+    """
+    held = cut(df)
+    tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return held.hint("shuffle_hash") if bytes_of(held) <= most * tasks else held
+
+
+def tidy() -> None:
+    """Give freed memory of a Python worker back at the end of a task; the worker lives on and serves others."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def where_fenced(df: DataFrame, condition: Column) -> DataFrame:
     """df.where(condition), evaluated on the columns of df as they stand.
 

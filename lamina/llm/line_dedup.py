@@ -1,12 +1,14 @@
 """Line dedup (op 8): overlapping three-line windows, repeated anywhere in the corpus, are kept once.
 
 Lines with a word are normalised (lower case, white space collapsed) and hashed; each run of three neighbours
-is a window with a 128-bit hash. The first occurrence of a window is the one with the smallest (doc_id, text
+is a window with two 64-bit hashes over the lines' 64-bit hashes. The first occurrence of a window is the one with the smallest (doc_id, text
 hash, place); every later one covers its three lines, and all covered lines of a document are removed
 together, so overlapping windows merge. Blank lines and documents of under three lines stay as they are.
 
 Defined results: a null text stays null; null ids come first; rows equal in doc_id and text count as one
-document and keep the same lines; an empty table gives an empty result; all columns of the input stay.
+document and keep the same lines; very long texts are windows like any other; a document that loses all lines
+stays with an empty text; an empty table gives an empty result; all columns of the input stay, in a struct, so
+no name can clash; ids may be of any type.
 
 Scale: windows are counted with map-side aggregation, only repeated ones are kept, and the join back to the
 windows has an exchange directly on either side, so a hot window is split by adaptive execution. Texts are
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import SPACE, blank, cut, table, where_fenced
+from lamina.llm.common import SPACE, blank, cut, hash_side, table, where_fenced
 
 WINDOW = 3
 
@@ -64,7 +66,7 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """docs as one struct column, with n_lines, n_removed and kept_text."""
-    gone = cut(removals(docs, doc_id, text, window)).hint("shuffle_hash")
+    gone = hash_side(removals(docs, doc_id, text, window))
     left = keyed(docs, doc_id, text)
     found = left.join(gone, (left[KEY] == gone["key"]) & left[ID].eqNullSafe(gone["id"]), "left")
     lines = F.split(blank("text"), "\n")

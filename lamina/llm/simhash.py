@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import blank, cut, ship, small, table
+from lamina.llm.common import blank, cut, hash_side, ship, small, table
 
 SHINGLE = 3
 THRESHOLD = 3
@@ -252,7 +252,7 @@ def pick_one(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text: s
     pick = best.select("best.id", "best.body")
     chosen = pick.join(again, pick["id"].eqNullSafe(again[blank("d_id")]) & (pick["body"] == again[blank("d_body")])).drop("id", "body")
     names = {n: blank(f"d_{n}") for n in ("id", "body", "n")}
-    chosen = cut(chosen).hint("shuffle_hash")
+    chosen = hash_side(chosen)
     found = docs.withColumn(blank("body"), F.xxhash64(F.col(text)))
     kept = found.join(chosen, (found[blank("body")] == chosen[names["body"]]) & found[doc_id].eqNullSafe(chosen[names["id"]]))
     once = kept.where(F.col(names["n"]) == 1)
