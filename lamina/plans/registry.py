@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lamina.plans import block_queries, document_queries, kind_queries, report_queries, table_queries, text_queries
+from lamina.plans import block_queries, document_queries, fold_sql, kind_queries, report_queries, table_queries, text_queries
 
 QUERIES: dict = {**block_queries.QUERIES, **document_queries.QUERIES, **kind_queries.QUERIES, **report_queries.QUERIES, **table_queries.QUERIES, **text_queries.QUERIES}
-ORACLES: dict = {**block_queries.ORACLES, **document_queries.ORACLES, **kind_queries.ORACLES, **report_queries.ORACLES, **table_queries.ORACLES, **text_queries.ORACLES}
+ORACLES: dict = {**block_queries.ORACLES, **document_queries.ORACLES, **fold_sql.ORACLES, **kind_queries.ORACLES, **report_queries.ORACLES, **table_queries.ORACLES, **text_queries.ORACLES}
