@@ -17,6 +17,17 @@ def sizes(cells: DataFrame) -> DataFrame:
     return cells.groupBy("table_id").agg(F.max(F.col("r") + F.col("row_span")).alias("n_rows"), F.max(F.col("c") + F.col("col_span")).alias("n_cols"))
 
 
+def clipped(cells: DataFrame, declared: DataFrame) -> DataFrame:
+    """cells with spans that end where their table does; ``declared`` is (table_id, n_rows, n_cols).
+
+    Spans come from files, so they are cut before anything is made of them; a cell that begins outside keeps a span of one.
+    """
+    met = cells.join(declared.select("table_id", "n_rows", "n_cols"), "table_id", "left")
+    end = lambda span, at, size: F.when(F.col(size).isNull(), F.col(span)).otherwise(F.greatest(F.least(F.col(span), F.col(size) - F.col(at)), F.lit(1))).cast(cells.schema[span].dataType).alias(span)
+    spans = {"row_span": end("row_span", "r", "n_rows"), "col_span": end("col_span", "c", "n_cols")}
+    return met.select(*[spans.get(c, F.col(c)) for c in cells.columns])
+
+
 def expanded(cells: DataFrame) -> DataFrame:
     """A row for each place that a cell covers: (cell columns, pr, pc)."""
     down = cells.withColumn("pr", F.explode(F.sequence(F.col("r"), F.col("r") + F.greatest("row_span", F.lit(1)) - 1)))
@@ -30,7 +41,8 @@ def slots(cells: DataFrame, declared: DataFrame | None = None) -> DataFrame:
     """
     size = sizes(cells) if declared is None else declared
     first = Window.partitionBy("table_id", "pr", "pc").orderBy("r", "c")
-    taken = expanded(cells).withColumn("nth", F.row_number().over(first)).where("nth = 1")
+    own = cells if declared is None else clipped(cells, declared)
+    taken = expanded(own).withColumn("nth", F.row_number().over(first)).where("nth = 1")
     kind = F.when((F.col("r") == F.col("pr")) & (F.col("c") == F.col("pc")), "origin").otherwise("covered")
     held = taken.select("table_id", "pr", "pc", kind.alias("kind"), "r", "c", "text")
     places = size.select("table_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_rows") - 1)).alias("pr"), "n_cols").select("table_id", "pr", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_cols") - 1)).alias("pc"))
@@ -38,9 +50,15 @@ def slots(cells: DataFrame, declared: DataFrame | None = None) -> DataFrame:
 
 
 def issues(cells: DataFrame, declared: DataFrame) -> DataFrame:
-    """(table_id, code, n): places out of bounds, places claimed again, and places without a cell."""
-    placed = expanded(cells).join(declared, "table_id")
-    beyond = placed.where("pr >= n_rows OR pc >= n_cols").select("table_id", F.lit("out_of_bounds").alias("code"), F.lit(1).alias("n"))
+    """(table_id, code, n): places out of bounds, places claimed again, and places without a cell.
+
+    Places out of bounds are reckoned from the spans, not listed.
+    """
+    met = cells.join(declared, "table_id").withColumns({"row_span": F.greatest("row_span", F.lit(1)), "col_span": F.greatest("col_span", F.lit(1))})
+    part = lambda at, span, size: F.greatest(F.least(F.col(at) + F.col(span), F.col(size)) - F.least(F.col(at), F.col(size)), F.lit(0))
+    outside = (F.col("row_span") * F.col("col_span") - part("r", "row_span", "n_rows") * part("c", "col_span", "n_cols")).cast("long")
+    beyond = met.select("table_id", F.lit("out_of_bounds").alias("code"), outside.alias("n")).where("n > 0")
+    placed = expanded(clipped(cells, declared)).join(declared, "table_id")
     inside = placed.where("pr < n_rows AND pc < n_cols").groupBy("table_id", "pr", "pc").agg((F.count("*") - 1).alias("n")).where("n > 0")
     again = inside.select("table_id", F.lit("overlap").alias("code"), "n")
     missing = slots(cells, declared).where("kind = 'empty'").select("table_id", F.lit("missing_grid_cell").alias("code"), F.lit(1).alias("n"))

@@ -8,37 +8,35 @@ from pyspark.sql import functions as F
 from lamina.functions import text as T
 from lamina.runtime import cut
 
-#: A table deeper than this has a cycle above it.
-MOST_DEPTH = 64
-
 
 def tree(tables: DataFrame) -> DataFrame:
     """(table_id, parent_id, root_id, base_depth): the root of each table and the depth its rows start from.
 
     ``tables`` is (table_id, parent_id); a nested table's rows begin three levels below those of its parent
-    (row, cell, reference). The tree is walked a level at a time, each a join on unique keys that is cut, so
-    neither rows nor levels meet the limits of a recursive query; tables in a cycle have no root and are left out.
+    (row, cell, reference). The tree is walked a level at a time to its end, each level a join that is cut, so
+    neither rows nor levels meet the limits of a recursive query. A table that was found before, as an id that
+    comes again below itself is, ends its branch; tables in a cycle without a root are left out.
     """
     level = cut(tables.where("parent_id IS NULL").select("table_id", "parent_id", F.col("table_id").alias("root_id"), F.lit(0).cast("long").alias("base_depth")))
-    found = level
-    for _ in range(MOST_DEPTH):
+    found, inner = level, cut(tables.where("parent_id IS NOT NULL").select("table_id", "parent_id"))
+    while not level.isEmpty():
         above = level.select(F.col("table_id").alias("parent_id"), "root_id", (F.col("base_depth") + 3).alias("base_depth"))
-        level = cut(tables.where("parent_id IS NOT NULL").join(above, "parent_id").select("table_id", "parent_id", "root_id", "base_depth"))
-        if level.isEmpty():
-            break
+        below_them = inner.join(above, "parent_id").select("table_id", "parent_id", "root_id", "base_depth")
+        level = cut(below_them.join(found.select("table_id", "root_id"), ["table_id", "root_id"], "left_anti"))
         found = found.unionByName(level)
     return found
 
 
 def below(parents: DataFrame, tops: DataFrame) -> DataFrame:
     """(table_id): the tables that lie somewhere below any of ``tops`` (table_id); ``parents`` is (table_id, parent_id)."""
-    level, found = tops.select("table_id"), None
-    for _ in range(MOST_DEPTH):
-        level = cut(parents.join(level.select(F.col("table_id").alias("parent_id")), "parent_id").select("table_id").distinct())
-        if level.isEmpty():
-            break
+    inner, level = cut(parents), tops.select("table_id")
+    found = None
+    while True:
+        level = inner.join(level.select(F.col("table_id").alias("parent_id")), "parent_id").select("table_id").distinct()
+        level = cut(level if found is None else level.join(found, "table_id", "left_anti"))
         found = level if found is None else found.unionByName(level)
-    return (level if found is None else found).distinct()
+        if level.isEmpty():
+            return found
 
 
 def flatten(tables: DataFrame, cells: DataFrame) -> DataFrame:

@@ -161,7 +161,7 @@ def count_parity(spark, sf_dir):
 
 def baseline_diff(spark, sf_dir):
     """Blocks before and after an edit: some dropped, some changed, some moved behind the end."""
-    lines = marked_lines(spark, sf_dir).select("doc_id", F.col("pos").alias("ord"), F.substring("text", 1, 50).alias("text"), (F.col("pos") % 3).alias("meta"))
+    lines = marked_lines(spark, sf_dir).select("doc_id", F.col("pos").alias("ord"), "text", (F.col("pos") % 3).alias("meta"))
     key = F.col("doc_id") + F.col("ord")
     after = lines.where(key % 11 != 0).select("doc_id", F.when(key % 13 == 0, F.col("ord") + 100_000).otherwise(F.col("ord")).alias("ord"), F.when(key % 17 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("text"), F.when(key % 19 == 0, 9).otherwise(F.col("meta")).alias("meta"))
     return checks.baseline_diff(lines, after)
@@ -180,7 +180,7 @@ def path_inventory(spark, sf_dir):
 
 
 def mapping_grade(spark, sf_dir):
-    return checks.mapping_grade(read(spark, sf_dir, "nation"), "n_nationkey", "n_regionkey")
+    return checks.mapping_grade(read(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus")
 
 
 QUERIES = {
@@ -243,7 +243,7 @@ UNION ALL SELECT 'duplicate_id', CAST(id AS VARCHAR), 1 FROM r WHERE id IS NOT N
 UNION ALL SELECT 'unknown_kind', event_type, count(*) FROM r WHERE event_type NOT IN ('click', 'view', 'purchase') GROUP BY event_type""",
     "parent_refs": f"{GEO} SELECT table_id || ':' || r || ':cell_text:' || c AS id, kind, CASE WHEN r % 10 = 0 THEN 'no_parent' ELSE 'wrong_kind' END AS problem FROM flat WHERE kind = 'cell_text'",
     "count_parity": "SELECT l_orderkey AS k, count(*) AS expected, count(*) FILTER (l_suppkey % 31 <> 0) AS found FROM lineitem GROUP BY l_orderkey HAVING count(*) FILTER (l_suppkey % 31 = 0) > 0",
-    "baseline_diff": f"""{LINES}, a AS (SELECT doc_id, pos AS ord, substring(text, 1, 50) AS text, pos % 3 AS meta, doc_id + pos AS key FROM l),
+    "baseline_diff": f"""{LINES}, a AS (SELECT doc_id, pos AS ord, text, pos % 3 AS meta, doc_id + pos AS key FROM l),
 b AS (SELECT doc_id, CASE WHEN key % 13 = 0 THEN ord + 100000 ELSE ord END AS ord, CASE WHEN key % 17 = 0 THEN text || '!' ELSE text END AS text, CASE WHEN key % 19 = 0 THEN 9 ELSE meta END AS meta FROM a WHERE key % 11 <> 0),
 j AS (SELECT doc_id, ord, a.text AS at_, b.text AS bt, a.meta AS am, b.meta AS bm, a.ord IS NOT NULL AS in_a, b.ord IS NOT NULL AS in_b FROM (SELECT doc_id, ord, text, meta FROM a) a FULL JOIN b USING (doc_id, ord)),
 k AS (SELECT *, in_a AND (NOT in_b OR at_ IS DISTINCT FROM bt) AS lost, EXISTS (SELECT 1 FROM b WHERE b.doc_id = j.doc_id AND b.text = j.at_ AND j.at_ <> '') AS there FROM j)
@@ -257,7 +257,8 @@ ss AS (SELECT doc_id, count(*) FILTER (k > 1) AS scattered FROM (SELECT doc_id,
 SELECT doc_id, coalesce(n_headings, 0) AS n_headings, coalesce(jumps, 0) AS jumps, coalesce(size_reversals, 0) AS size_reversals, indent_reversals, coalesce(scattered, 0) AS scattered FROM bb LEFT JOIN hh USING (doc_id) LEFT JOIN ss USING (doc_id)""",
     "path_inventory": """SELECT path, count(*) AS n, count(*) FILTER (coalesce(v, '') = '') AS n_empty, count(DISTINCT v) AS n_distinct, CAST(max(length(v)) AS BIGINT) AS longest
 FROM (SELECT path, json_extract_string(props, '$."' || path || '"') AS v FROM (SELECT props, unnest(json_keys(props)) AS path FROM events)) GROUP BY path""",
-    "mapping_grade": "SELECT count(DISTINCT n_nationkey) AS n_source, true AS is_function, count(DISTINCT n_regionkey) AS n_target, count(DISTINCT n_regionkey) = count(DISTINCT n_nationkey) AS is_injective FROM nation",
+    "mapping_grade": """WITH p AS (SELECT DISTINCT l_returnflag AS a, l_linestatus AS b FROM lineitem)
+SELECT count(DISTINCT a) AS n_source, count(DISTINCT a) = count(*) AS is_function, count(DISTINCT b) AS n_target, count(DISTINCT b) = count(*) AS is_injective FROM p""",
     "numbering_agreement": rf"""{DEEP},
 l AS (SELECT doc_id, ord AS pos, depth, {quoted(PREFIXES)}[(doc_id * 7 + ord) % {len(PREFIXES)} + 1] || text AS text FROM deep), {renamed(NUMBERED)},
 q AS (SELECT kk.doc_id, kk.pos, l.depth, w[1] AS m, w, CASE WHEN numbering IS NOT NULL THEN list_filter(string_split(replace(numbering, '-', '.'), '.'), lambda x: x <> '') END AS parts

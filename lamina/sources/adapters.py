@@ -25,7 +25,7 @@ def marked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).where(F.trim("line") != "")
     pick = lambda values, by: F.element_at(F.array(*[F.lit(v) for v in values]), (by % len(values) + 1).cast("int"))
     key = F.col("doc_id") * 7 + F.col("pos")
-    return lines.select("doc_id", F.col("pos").cast("long").alias("pos"), F.concat(pick(PREFIXES, key), F.substring("line", 1, 40), pick(SUFFIXES, key)).alias("text"))
+    return lines.select("doc_id", F.col("pos").cast("long").alias("pos"), F.concat(pick(PREFIXES, key), F.col("line"), pick(SUFFIXES, key)).alias("text"))
 
 
 def quoted(values: list[str]) -> str:
@@ -33,7 +33,7 @@ def quoted(values: list[str]) -> str:
 
 
 MARKED_LINES_SQL = f"""
-SELECT doc_id, pos, {quoted(PREFIXES)}[(doc_id * 7 + pos) % {len(PREFIXES)} + 1] || substring(line, 1, 40) || {quoted(SUFFIXES)}[(doc_id * 7 + pos) % {len(SUFFIXES)} + 1] AS text
+SELECT doc_id, pos, {quoted(PREFIXES)}[(doc_id * 7 + pos) % {len(PREFIXES)} + 1] || line || {quoted(SUFFIXES)}[(doc_id * 7 + pos) % {len(SUFFIXES)} + 1] AS text
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents)
 WHERE trim(line) <> ''"""
 
@@ -101,7 +101,7 @@ def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         pos.cast("long").alias("ord"),
         F.floor(pos / 6).cast("long").alias("section"),
         kind.alias("block_type"),
-        F.substring("line", 1, 60).alias("text"),
+        F.col("line").alias("text"),
         F.concat(F.lit("s"), (key % 3).cast("string")).alias("style_id"),
         F.concat(F.lit("p"), F.when(n < 120, 0).otherwise(1).cast("string")).alias("para_id"),
         F.when(n < 40, 16.0).when(n < 120, 14.0).when(n < 300, 12.0).otherwise(10.0).alias("font_size"),
@@ -114,7 +114,7 @@ def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINE_BLOCKS_SQL = f"""
-SELECT doc_id, pos AS ord, pos // 6 AS section, CASE key % 23 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in BLOCK_TYPES.items())} ELSE 'paragraph' END AS block_type, substring(line, 1, 60) AS text,
+SELECT doc_id, pos AS ord, pos // 6 AS section, CASE key % 23 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in BLOCK_TYPES.items())} ELSE 'paragraph' END AS block_type, line AS text,
   's' || (key % 3) AS style_id, 'p' || CASE WHEN n < 120 THEN 0 ELSE 1 END AS para_id, CAST(CASE WHEN n < 40 THEN 16 WHEN n < 120 THEN 14 WHEN n < 300 THEN 12 ELSE 10 END AS DOUBLE) AS font_size,
   CASE WHEN n < 90 THEN 1.0 ELSE 0.25 END AS bold_ratio, CASE WHEN n < 60 THEN 'CENTER' ELSE 'LEFT' END AS alignment, key % 5 * 300 AS indent,
   CASE WHEN key % 19 = 1 THEN key % 4 END AS native_level, CASE WHEN key % 13 = 2 THEN key % 3 + 1 END AS numbering_level

@@ -109,3 +109,18 @@ def test_mapping_grade(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "a"), (1, "a")], "s int, t string")
     got = checks.mapping_grade(rows, "s", "t").first()
     assert (got.n_source, got.is_function, got.n_target, got.is_injective) == (2, True, 1, False)
+
+
+def test_deep_chains_and_cycles_of_tables(spark):
+    chain = [("t0", None)] + [(f"t{i}", f"t{i - 1}") for i in range(1, 81)]
+    tables = spark.createDataFrame(chain + [("x", "y"), ("y", "x")], "table_id string, parent_id string")
+    assert {(r.table_id, r.base_depth) for r in nested.tree(tables).collect()} == {(f"t{i}", 3 * i) for i in range(81)}
+    tops = spark.createDataFrame([("t0",), ("x",)], "table_id string")
+    assert {r.table_id for r in nested.below(tables.where("parent_id IS NOT NULL"), tops).collect()} == {f"t{i}" for i in range(1, 81)} | {"x", "y"}
+
+
+def test_spans_of_any_size_are_clipped(spark):
+    cells = spark.createDataFrame([("t", 0, 0, 10**9, 10**9, "a"), ("t", 1, 1, 1, 1, "b"), ("t", 5, 0, 1, 2, "c")], "table_id string, r long, c long, row_span long, col_span long, text string")
+    declared = spark.createDataFrame([("t", 2, 2)], "table_id string, n_rows long, n_cols long")
+    assert {(r.pr, r.pc, r.text) for r in grid.slots(cells, declared).collect()} == {(0, 0, "a"), (0, 1, "a"), (1, 0, "a"), (1, 1, "a")}
+    assert {(r.code, r.n) for r in grid.issues(cells, declared).collect()} == {("out_of_bounds", 10**18 - 4 + 2), ("overlap", 1)}
