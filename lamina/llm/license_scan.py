@@ -1,22 +1,30 @@
-"""License scans (op 4): MinHash bands over overlapping text windows retrieve templates, containment verifies.
+"""License scans (op 4): MinHash bands over overlapping windows of text retrieve templates, containment verifies.
 
-Texts and templates are words in lower case without marks. A template of n words is looked for in windows of n
-words that start every max(1, n // 4) words, so some window overlaps any copy of it in 7 / 8 of its words or
-more. Shingles are five words (a shorter template is one shingle). A window and a template are candidates if
-any of BANDS bands of ROWS MinHash values agrees. A window that holds a whole copy's share s of Jaccard
-similarity is found with probability 1 - (1 - s ** ROWS) ** BANDS: at s = 0.5, the least that a copy with
-containment 0.8 can leave, over 0.9999 with 32 bands of one row. Candidates are verified exactly: the share of
-the template's distinct shingles in the words around the window must be CONTAINED or more.
+Texts and templates are words in lower case without marks; shingles are five words (a shorter template is one).
 
-Only MinHash values that a template has can make a band agree, and each such value is the hash of one of the
-template's own shingles; so documents without any shingle of any template are left out beforehand without
-loss, and hashes are taken only in the documents that stay.
+Windows. A text's shingles are cut into blocks of four; a block has the least value of its shingles under each of
+``BANDS`` seeded orders. Windows of two blocks begin at every block, windows of twelve at every fourth: a run of eight
+words lies in one of the former, one of 32 in one of the latter, wherever it stands. Of these blocks and windows
+every band value is looked up in the table of the templates' values.
+
+Bands. A template of eight to 31 words is cut into overlapping segments of eight words, a longer one of 32; each has
+a value in every band. A window that holds a whole segment has a Jaccard similarity of 0.5 or more with it (4 of 8
+shingles, 28 of 48), so some band of one row agrees with probability 1 - 0.5 ** 12 = 0.9998 or more, for each segment
+that is left whole. A copy of which 0.8 of the shingles are left has one in all but odd cases: a changed word costs
+five shingles, so it has a change in every twenty-five words at most. A template of under eight words is its own
+window of one shingle, for which equal hashes are the band.
+
+Verification is exact: over runs of a template's length that begin every quarter of it, the share of its distinct
+shingles in the words around the run must be CONTAINED or more.
 
 Defined results: null and empty texts have no licenses; each document and template is one row, with the best
-containment and the first place; repeated rows give repeated rows; an empty table gives an empty result.
+containment and, of equal ones, the first place; very long texts are scanned whole; repeated rows give repeated
+rows; an empty table gives an empty result; the document is one struct column, so no name can clash.
 
-Scale: native expressions only, one pass over the texts without a shuffle; the templates are a parameter, a
-bounded table of constants inside the plan. Windows stay inside the row of their document.
+Scale: native expressions only, one pass over the texts without a shuffle. Templates are constants of the plan,
+``CHUNK`` at a time; more of them are more passes, never fewer results. What is looked up in every document is a
+value for each band and block, and a hash for each word; only documents with a value of the table are looked at
+by window and template.
 """
 
 from __future__ import annotations
@@ -24,19 +32,24 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.common import blank, hashes_of, table, where_fenced, window_hashes
 
 SHINGLE = 5
-BANDS = 32
-ROWS = 1
+BANDS = 12
+BLOCK = 4
+#: Blocks of a window, by the words of a segment.
+WINDOWS = {8: 2, 32: 12}
 CONTAINED = 0.8
-#: More templates than this would make the plan's constants large; pass them in several calls.
-MOST_TEMPLATES = 200
+#: Templates that go into one plan.
+CHUNK = 100
+#: The seeded orders: shingle hashes are compared after an exclusive or with these.
+MASKS = [int(x) for x in np.random.default_rng(4).integers(-(2**63), 2**63, BANDS, dtype=np.int64)]
 
-#: Notices as their authors ask to have them given.
+#: Notices and license texts as their authors ask to have them given.
 TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
@@ -48,9 +61,24 @@ TEMPLATES = {
     "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
     "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "BSD-2-Clause-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "BSD-3-Clause-clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "Zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    "Unlicense-text": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "GPL-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program.",
+    "LGPL-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    "AGPL-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
 
-ROW, WORDS, HASHES = (blank(x) for x in ("row", "words", "hashes"))
+ROW, WORDS, HASHES, LEAST = (blank(x) for x in ("row", "words", "hashes", "least"))
 
 
 @dataclass(frozen=True)
@@ -62,6 +90,11 @@ class Template:
     def shingle(self) -> int:
         return min(SHINGLE, len(self.words))
 
+    @property
+    def segment(self) -> int:
+        """The words of its segments; 0: its shingles are looked up themselves."""
+        return max((c for c in WINDOWS if c <= len(self.words)), default=0)
+
 
 def normal(text: str) -> tuple[str, ...]:
     return tuple(re.findall(r"[a-z0-9]+", text.lower()))
@@ -84,69 +117,89 @@ def template_hashes(spark, templates: list[Template]) -> dict[str, list[int]]:
     return {r["name"]: r["s"] for r in found.collect()}
 
 
-def longs(values: list[int]) -> Column:
-    return F.array(*[F.lit(v).cast("long") for v in values])
-
-
-def minhash(shingles: Column, number: int) -> Column:
-    return F.array_min(F.transform(shingles, lambda s: F.xxhash64(s, F.lit(number))))
-
+def band_values(template: Template, own: list[int]) -> list[int]:
+    """The values of a template's segments in every band."""
+    if not template.segment:
+        return sorted(set(own))
+    size = template.segment - SHINGLE + 1
+    starts = sorted({*range(0, len(own) - size, template.segment // 2), len(own) - size})
+    return sorted({min(h ^ m for h in own[a : a + size]) for a in starts for m in MASKS})
 
-def best_window(template: Template, s: Column, own: list[int], signature: list[int], bands: int, rows: int) -> Column:
-    """The best verified window of a template in a document, or null; s: the document's shingle hashes."""
-    n = len(template.words)
-    span, step, mine = n - template.shingle + 1, max(1, n // 4), longs(own)
-    # A window of n words has n - k + 1 shingles; the last window ends with the text.
-    last = F.greatest(F.size(s) - span, F.lit(0))
-    starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(step)), F.array(last)))
-    wanted = F.array(
-        *[F.struct(F.lit(b * rows).alias("i"), *[F.lit(signature[b * rows + r]).cast("long").alias(f"m{r}") for r in range(rows)]) for b in range(bands)]
-    )
 
-    def candidate(at: Column) -> Column:
-        window = F.slice(s, at + 1, span)
+def longs(values: list[int]) -> Column:
+    return F.array(*[F.lit(v).cast("long") for v in values])
 
-        def agrees(band: Column) -> Column:
-            out = F.lit(True)
-            for r in range(rows):
-                out = out & (F.array_min(F.transform(window, lambda h: F.xxhash64(h, band["i"] + r))) == band[f"m{r}"])  # noqa: B023
-            return out
 
-        return F.arrays_overlap(window, mine) & F.exists(wanted, agrees)
+def block_values(shingles: Column) -> Column:
+    """The least values of each block of shingles in every band."""
+    four = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(shingles) - 1, F.lit(0)) / BLOCK).cast("int")), lambda j: F.struct(*[F.get(shingles, (j * BLOCK + i).cast("int")).alias(f"h{i}") for i in range(BLOCK)]))
+    least = lambda x, m: F.least(*[x[f"h{i}"].bitwiseXOR(F.lit(m)) for i in range(BLOCK)])
+    return F.when(F.size(shingles) > 0, F.transform(four, lambda x: F.array(*[least(x, m) for m in MASKS]))).otherwise(F.expr("array()").cast("array<array<bigint>>"))
 
-    def verified(at: Column) -> Column:
-        # Over the words around the window, so that a copy between two windows counts in full.
-        around = F.slice(s, F.greatest(at - step, F.lit(0)) + 1, span + 2 * step)
-        return F.struct((F.size(F.array_intersect(mine, around)) / F.lit(float(len(set(own))))).alias("share"), (-at).alias("back"))
 
-    best = F.array_max(F.transform(F.filter(starts, candidate), verified))
-    one = F.struct(F.lit(template.name).alias("template"), best["share"].alias("containment"), (-best["back"]).alias("start"), (F.lit(n) - best["back"]).alias("stop"))
-    return F.when(F.arrays_overlap(s, mine), one)
+def joined(values: Column, apart: int) -> Column:
+    """The values of windows from those of blocks or shorter windows: each with the one that begins ``apart`` blocks on, if any."""
+    return F.transform(values, lambda x, j: F.zip_with(x, F.coalesce(F.get(values, j + apart), x), lambda a, b: F.least(a, b)))
 
 
-def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES, bands: int = BANDS, rows: int = ROWS, contained: float = CONTAINED) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES, contained: float = CONTAINED) -> DataFrame:
     """docs as one struct column, with template, containment, start and stop (in words): a row per template found."""
-    spark = docs.sparkSession
-    if len(templates) > MOST_TEMPLATES:
-        raise ValueError(f"at most {MOST_TEMPLATES} templates a call")
     known = [Template(name, normal(body)) for name, body in templates.items()]
-    own = template_hashes(spark, known)
-    # The MinHash values of the templates, from the same expressions.
-    signed = spark.createDataFrame([(name, s) for name, s in own.items()], "name string, s array<bigint>")
-    signatures = {r["name"]: r["m"] for r in signed.select("name", F.array(*[minhash(F.col("s"), i) for i in range(bands * rows)]).alias("m")).collect()}
+    known = [t for t in known if t.words]
+    found = [scan_chunk(docs, text, known[at : at + CHUNK], contained) for at in range(0, len(known), CHUNK)] or [scan_chunk(docs, text, [Template("", ("",))], contained)]
+    for more in found[1:]:
+        found[0] = found[0].unionByName(more)
+    return found[0]
 
-    sizes = sorted({t.shingle for t in known})
+
+def scan_chunk(docs: DataFrame, text: str, known: list[Template], contained: float) -> DataFrame:
+    own = template_hashes(docs.sparkSession, known)
+    sizes = sorted({SHINGLE, *(t.shingle for t in known)})
     hashed = docs.select(F.struct("*").alias(ROW), words_in(F.col(text)).alias(WORDS)).select(ROW, hashes_of(F.col(WORDS)).alias(HASHES))
-    shingles = hashed.select(ROW, F.size(HASHES).alias("n"), *[window_hashes(F.col(HASHES), k).alias(f"s{k}") for k in sizes])
-    some = None
-    for k in sizes:
-        all_k = longs(sorted({h for t in known if t.shingle == k for h in own[t.name]}))
-        some = F.arrays_overlap(f"s{k}", all_k) if some is None else some | F.arrays_overlap(f"s{k}", all_k)
-    left = where_fenced(shingles, some)
+    shingles = hashed.select(ROW, *[window_hashes(F.col(HASHES), k).alias(f"s{k}") for k in sizes])
+    blocks = shingles.withColumn(LEAST, block_values(F.col(f"s{SHINGLE}")))
 
-    found = [best_window(t, F.col(f"s{t.shingle}"), own[t.name], signatures[t.name], bands, rows) for t in known]
-    each = where_fenced(left.select(ROW, F.explode(F.array(*found)).alias("f")), F.col("f.containment") >= contained)
-    return each.select(ROW, "f.*")
+    # The band table, by what it is looked up with: values of blocks, and short shingles as they are.
+    bands = {t.name: band_values(t, own[t.name]) for t in known}
+    wide = sorted({v for t in known if t.segment for v in bands[t.name]})
+    there = F.exists(LEAST, lambda x: F.exists(x, lambda v: v.isin(wide))) if wide else F.lit(False)
+    for k in sizes:
+        short = sorted({v for t in known if not t.segment and t.shingle == k for v in bands[t.name]})
+        if short:
+            there = there | F.exists(f"s{k}", lambda v: v.isin(short))  # noqa: B023
+    left = where_fenced(blocks, there)
+    two = left.withColumn("w2", joined(F.col(LEAST), 1))
+    four = two.withColumn("w4", joined(F.col("w2"), 2))
+    eight = four.withColumn("w8", joined(F.col("w4"), 4))
+    twelve = F.transform("w8", lambda x, j: F.zip_with(x, F.coalesce(F.get(F.col("w4"), j + 8), x), lambda a, b: F.least(a, b)))
+    windows = eight.select(ROW, *[f"s{k}" for k in sizes], F.flatten("w2").alias("w8_"), F.flatten(F.filter(twelve, lambda x, j: j % 4 == 0)).alias("w32_"))
+
+    lit = lambda t: [F.lit(t.name).alias("template"), F.lit(len(t.words)).alias("n"), F.lit(t.shingle).alias("k"), F.lit(t.segment).alias("segment")]
+    listed = F.array(*[F.struct(*lit(t), longs(sorted(set(own[t.name]))).alias("own"), longs(bands[t.name]).alias("bands")) for t in known])
+    of = lambda t: F.coalesce(*[F.when(t["k"] == k, F.col(f"s{k}")) for k in sizes])
+    agrees = lambda t: F.arrays_overlap(F.when(t["segment"] == 8, F.col("w8_")).when(t["segment"] == 32, F.col("w32_")).otherwise(of(t)), t["bands"])
+    candidates = windows.select(ROW, *[f"s{k}" for k in sizes], F.explode(F.filter(listed, agrees)).alias("t"))
+    t = F.col("t")
+    placed = candidates.select(ROW, "t", F.size(of(t)).alias("size"), F.filter(F.transform(of(t), lambda h, i: F.struct(i.alias("i"), h.alias("h"))), lambda x: F.array_contains(t["own"], x["h"])).alias("at"))
+
+    # Runs of the template's length begin every quarter of it; the last ends with the text. Only those with a shingle in them count.
+    step, span = F.greatest(F.floor(t["n"] / 4), F.lit(1)).cast("int"), t["n"] - t["k"] + 1
+    last = F.greatest(F.col("size") - span, F.lit(0))
+    first = lambda x: F.ceil(F.greatest(x["i"] - span + 1, F.lit(0)) / step).cast("int") * step
+    near = lambda x: F.filter(F.sequence(first(x), F.greatest(first(x), x["i"]), step), lambda a: (a <= x["i"]) & (a <= last))
+    end = F.filter(F.array(last), lambda a: F.exists("at", lambda x: (x["i"] >= a) & (x["i"] < a + span)))
+    many = F.flatten(F.transform("at", near))
+    starts = F.when(F.size(t["own"]) == 1, F.array(F.get("at", F.lit(0))["i"])).otherwise(F.array_distinct(F.concat(many, end)))
+
+    def share(a: Column) -> Column:
+        low = F.greatest(a - step, F.lit(0))
+        inside = F.filter("at", lambda x: (x["i"] >= low) & (x["i"] < low + span + 2 * step))
+        n = F.size(F.array_distinct(F.transform(inside, lambda x: x["h"])))
+        return F.struct((n / F.size(t["own"]).cast("double")).alias("share"), (-a).alias("back"))
+
+    best = placed.select(ROW, "t", F.array_max(F.transform(starts, share)).alias("best"))
+    good = where_fenced(best, F.col("best.share") >= contained)
+    return good.select(ROW, F.col("t.template").alias("template"), F.col("best.share").alias("containment"), (-F.col("best.back")).alias("start"), (F.col("t.n") - F.col("best.back")).alias("stop"))
 
 
 def op4_license_scan(spark, sf_dir) -> DataFrame:
