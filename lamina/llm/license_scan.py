@@ -187,15 +187,19 @@ def scan_chunk(docs: DataFrame, text: str, known: list[Template], contained: flo
     last = F.greatest(F.col("size") - span, F.lit(0))
     first = lambda x: F.ceil(F.greatest(x["i"] - span + 1, F.lit(0)) / step).cast("int") * step
     near = lambda x: F.filter(F.sequence(first(x), F.greatest(first(x), x["i"]), step), lambda a: (a <= x["i"]) & (a <= last))
+    begin = lambda a, of: F.struct(a.alias("a"), of.cast("int").alias("of"))
     end = F.filter(F.array(last), lambda a: F.exists("at", lambda x: (x["i"] >= a) & (x["i"] < a + span)))
-    many = F.flatten(F.transform("at", near))
-    starts = F.when(F.size(t["own"]) == 1, F.array(F.get("at", F.lit(0))["i"])).otherwise(F.array_distinct(F.concat(many, end)))
-
-    def share(a: Column) -> Column:
-        low = F.greatest(a - step, F.lit(0))
-        inside = F.filter("at", lambda x: (x["i"] >= low) & (x["i"] < low + span + 2 * step))
-        n = F.size(F.array_distinct(F.transform(inside, lambda x: x["h"])))
-        return F.struct((n / F.size(t["own"]).cast("double")).alias("share"), (-a).alias("back"))
+    many = F.concat(F.flatten(F.transform("at", lambda x, of: F.transform(near(x), lambda a: begin(a, of)))), F.transform(end, lambda a: begin(a, F.size("at") - 1)))
+    starts = F.when(F.size(t["own"]) == 1, F.array(begin(F.get("at", F.lit(0))["i"], F.lit(0)))).otherwise(many)
+    # Places are distinct, so a run with what is around it has no more of them than words; they stand beside the one it begins at.
+    reach = (span + 2 * step).cast("int")
+
+    def share(x: Column) -> Column:
+        low = F.greatest(x["a"] - step, F.lit(0))
+        beside = F.transform(F.sequence(F.greatest(x["of"] - reach, F.lit(0)), F.least(x["of"] + reach, F.size("at") - 1)), lambda j: F.get("at", j))
+        inside = F.filter(beside, lambda y: (y["i"] >= low) & (y["i"] < low + span + 2 * step))
+        n = F.size(F.array_distinct(F.transform(inside, lambda y: y["h"])))
+        return F.struct((n / F.size(t["own"]).cast("double")).alias("share"), (-x["a"]).alias("back"))
 
     best = placed.select(ROW, "t", F.array_max(F.transform(starts, share)).alias("best"))
     good = where_fenced(best, F.col("best.share") >= contained)
