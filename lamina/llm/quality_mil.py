@@ -10,11 +10,15 @@ with the smallest hashes of their doc_id; that bound is what the driver holds in
 source and doc_id are inputs of no score. Scoring covers every passage of every document.
 
 Defined results: null and blank texts are one passage without words and get a score from the same model; rows
-with a null doc_id are never held out nor learned from; repeated rows get equal scores; without any label
-(empty tables) all scores are 0.5; an empty table gives an empty result.
-
-Scale: the sample's features are gathered once (a documented bound); the weights, some 100 kB, go to the tasks
-with the function, and documents are scored in place without a shuffle, in slices of bounded text.
+with a null doc_id are never held out nor learned from; repeated rows get equal scores, very long texts have
+as many passages as they need; a tie of the hash that picks the sample is broken by doc_id, then label; without
+any label (empty tables) all scores are 0.5; an empty table gives an empty result; ids may be of any type, and
+columns other than id and text are not read.
+
+Scale: the sample's features are gathered once; one row of each sampled id counts (that of the smallest text hash),
+and a document of over ``SAMPLE_PASSAGES`` passages is learned from that many of them, evenly spaced, so the driver
+holds at most SAMPLE * SAMPLE_PASSAGES passages of 576 bytes. Scores are of all passages. The weights, some 100 kB,
+go to the tasks with the function, and documents are scored in place without a shuffle, in slices of bounded text.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ from lamina.llm.common import blank, ship, table
 
 PASSAGE = 128
 SAMPLE = 6000
+#: Passages of a sampled document that are learned from at most.
+SAMPLE_PASSAGES = 64
 HASHED = 128
 HIDDEN = 24
 ATTENTION = 12
@@ -188,15 +194,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
     ship(docs.sparkSession)
     usable = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id))
     few = usable.orderBy(F.xxhash64(doc_id), doc_id, label).limit(sample).select(F.col(doc_id).alias(blank("id")), F.col(label).cast("int").alias("label"))
-    rows = docs.select(F.col(doc_id).alias(blank("id")), F.col(text).alias("text")).join(F.broadcast(few), blank("id")).select("text", "label")
+    rows = docs.select(F.col(doc_id).alias(blank("id")), F.col(text).alias("text")).join(F.broadcast(few), blank("id"))
+    rows = rows.groupBy(blank("id")).agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.min("label").alias("label")).select("text", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in slices(texts):
                 x, n = features(texts[a:b])
-                ends = np.cumsum(n)
-                parts = [x[end - k : end].tobytes() for end, k in zip(ends, n, strict=True)]
+                parts = []
+                for end, k in zip(np.cumsum(n).tolist(), n.tolist(), strict=True):
+                    own = np.arange(end - k, end)
+                    parts.append(x[own if k <= SAMPLE_PASSAGES else own[np.linspace(0, k - 1, SAMPLE_PASSAGES).astype(np.int64)]].tobytes())
                 yield pa.record_batch([pa.array(parts, pa.binary()), batch.column(1).slice(a, b - a)], names=["x", "label"])
 
     bags = [(bytes(x), y) for x, y in rows.mapInArrow(run, "x binary, label int").collect()]
@@ -218,8 +227,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             out = [model.score(*features(texts[a:b])) for a, b in slices(texts)]
             yield pa.record_batch([batch.column(0), pa.array(np.concatenate([np.zeros(0), *out]), pa.float64())], names=["doc_id", "score"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def op3_quality_mil(spark, sf_dir) -> DataFrame:
