@@ -30,10 +30,11 @@ def filtered_blocks(blocks: DataFrame, left_out: DataFrame, entries: DataFrame |
 
     The place of a contents table has instead the entries of its document, (doc_id, i, text, level) in order.
     """
-    met = blocks.join(left_out, "table_id", "left")
-    contents = F.coalesce(F.col("reason") == CONTENTS, F.lit(False))
-    out = F.col("reason").isNotNull() & ~contents
-    found = met.withColumn("text", F.when(out, "").otherwise(F.col("text"))).withColumn("excluded_reason", F.when(out, F.col("reason")).otherwise(""))
+    blocks = blocks.drop("excluded_reason", "toc_entries")  # of a former filter
+    met = blocks.join(left_out.select("table_id", F.col("reason").alias("left_out_as")), "table_id", "left")
+    contents = F.coalesce(F.col("left_out_as") == CONTENTS, F.lit(False))
+    out = F.col("left_out_as").isNotNull() & ~contents
+    found = met.withColumn("text", F.when(out, "").otherwise(F.col("text"))).withColumn("excluded_reason", F.when(out, F.col("left_out_as")).otherwise(""))
     kind = "array<struct<text:string,level:bigint>>"
     if entries is None:
         listed = found.withColumn("toc_entries", F.expr("array()").cast(kind))
