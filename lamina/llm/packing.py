@@ -21,6 +21,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 from pathlib import Path
 
@@ -48,8 +49,8 @@ SLICE_BYTES = 8_000_000
 
 #: Texts of these characters only are split here; others by the tokenizer itself.
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
-#: The pieces of words that stand on lines of their own, and the ends of the lines.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+|\n")
+#: The pieces of words.
+PIECES = r"('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+)"
 #: The steps of a tokenizer file before its model, for which PIECES gives the same pieces.
 STEPS = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -93,8 +94,8 @@ class Encoder:
         rest = [b for b in range(256) if b not in seen]
         self.letters = {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
-        # The first known piece is the end of a line, which has no ids.
-        self.known, self.hits = Remembered({"\n": 0}), np.zeros(1, np.int64)
+        # The first known piece is the empty one, which has no ids.
+        self.known, self.hits = Remembered({"": 0}), np.zeros(1, np.int64)
         self.known.new = []
         self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
@@ -102,7 +103,7 @@ class Encoder:
         """Keep only the pieces that were met most often, half of the bound at most."""
         self.hits[0] = np.iinfo(np.int64).max
         names, keep = list(self.known), np.argsort(-self.hits, kind="stable")[: REMEMBER // 2]
-        keep = keep[self.hits[keep] > 1]
+        keep = keep[self.hits[keep] > 0]
         self.flat, self.sizes = gather(self.flat, self.starts[keep], self.sizes[keep]), self.sizes[keep]
         self.starts, self.hits = np.cumsum(self.sizes) - self.sizes, np.zeros(len(keep), np.int64)
         self.known = Remembered((names[k], i) for i, k in enumerate(keep.tolist()))
@@ -134,14 +135,17 @@ class Encoder:
         if len(self.known) > REMEMBER:
             self.forget()
         # Pieces of each distinct word, then ids of each distinct word, then ids of the words as they stand.
-        found = PIECES.findall("\n".join([*coded.dictionary.to_pylist(), ""]))
-        number = np.fromiter(map(self.known.__getitem__, found), dtype=np.int64, count=len(found))
-        del found
+        spaced = pc.utf8_rtrim(pc.replace_substring_regex(coded.dictionary, pattern=PIECES, replacement=r"\1 "), characters=" ")
+        listed = pc.split_pattern(spaced, pattern=" ")
+        parts = listed.flatten().dictionary_encode()
+        number = np.fromiter(map(self.known.__getitem__, parts.dictionary.to_pylist()), dtype=np.int64, count=len(parts.dictionary))[parts.indices.to_numpy()]
+        n_parts = np.diff(listed.offsets.to_numpy())
+        del spaced, listed, parts
         self.learn()
         self.hits = np.bincount(number, minlength=len(self.known)) + np.r_[self.hits, np.zeros(len(self.known) - len(self.hits), np.int64)]
         # One more word, the last, has the end id alone; it follows the words of each text.
         word_ids = np.append(gather(self.flat, self.starts[number], self.sizes[number]), np.uint32(END))
-        ends = np.append(np.cumsum(self.sizes[number])[number == 0], len(word_ids))
+        ends = np.append(np.r_[0, np.cumsum(self.sizes[number])][np.cumsum(n_parts)], len(word_ids))
         sizes = np.diff(ends, prepend=0)
         index = np.insert(coded.indices.to_numpy(), bounds[1:], len(sizes) - 1)
         n_ids = sizes[index]
@@ -161,6 +165,12 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return flat[places]
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker, which it keeps for the next task; with half of the bound of pieces at most."""
+    return Encoder(path)
+
+
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """(bin, offset) of each item and the fill of each bin: longest first, into the fullest bin with room."""
     bins, offsets, fills = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64), []
@@ -193,14 +203,13 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, held, owners, number, crc32 = (TaskContext.get().partitionId() + 1) << 40, [], [], 0, zlib.crc32
-        encoder = None  # of this task only: the worker goes on to other stages, which need the memory
         for batch in batches:
             owner, texts = batch.column(0), batch.column(1)
             sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_BYTES
             cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
             for first, last in zip(cuts, cuts[1:]):
-                counts, encoder = [], encoder or Encoder(path)
-                for tokens in encoder.encode(texts.slice(first, last - first).to_pylist()):
+                counts = []
+                for tokens in encoder(path).encode(texts.slice(first, last - first).to_pylist()):
                     for start in range(0, len(tokens), capacity):
                         part = tokens[start : start + capacity]
                         held.append((start // capacity, start, len(part), crc32(part), *([part.astype(np.int32)] if with_ids else [])))
@@ -212,7 +221,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
                     yield out
         if held:
             yield packed(held, owners, base, number)[0]
-        del encoder
+        encoder(path).forget()  # the worker goes on to other stages, which need the memory
         tidy()
 
     def packed(held: list[tuple], owners: list[pa.Array], base: int, number: int) -> tuple[pa.RecordBatch, int]:
