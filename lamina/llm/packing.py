@@ -42,9 +42,9 @@ SLACK = 0.01
 SHARD_PIECES = 100_000
 GROUP_ROWS = 20_000
 #: Pieces of text whose ids a worker remembers.
-REMEMBER = 300_000
+REMEMBER = 200_000
 #: Bytes of text that a worker encodes at a time; a piece of text met twice in them is looked at once.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 
 #: Texts of these characters only are split here; others by the tokenizer itself.
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
