@@ -156,7 +156,13 @@ def main(argv: list[str] | None = None) -> int:
     args.add_argument("--summary", action="store_true", help="show a row for each document")
     given = args.parse_args(argv)
     spark = SparkSession.builder.appName("lamina").getOrCreate()
-    a = engine.analyze(package.read(spark, given.packages))
+    parts = cut(package.read(spark, given.packages))
+    bare = package.problems(parts)
+    for row in bare.collect():
+        print(f"{row['path']}: {row['problem']}", file=sys.stderr)
+    if not bare.isEmpty():
+        return 1
+    a = engine.analyze(parts)
     bad = verify(a).collect()
     for row in bad:
         print(f"{row['check']}: {row['n']}", file=sys.stderr)

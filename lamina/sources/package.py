@@ -11,6 +11,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from pathlib import PurePosixPath
@@ -41,6 +42,7 @@ NODE = pa.struct(
         ("ord", pa.int64()), ("paragraph_index", pa.int64()), ("node_type", pa.string()), ("object_type", pa.string()), ("source_path", pa.string()), ("anchor_path", pa.string()), ("text", pa.string()),
         ("para_pr", pa.string()), ("style_id", pa.string()), ("runs", RUNS), ("lines", pa.int64()), ("line_variation", pa.float64()), ("n_objects", pa.int64()), ("has_sec_pr", pa.bool_()),
         ("table_index", pa.int64()), ("xml_id", pa.string()), ("image_ref", pa.string()), ("width", pa.string()), ("height", pa.string()), ("inline", pa.bool_()), ("attrs", pa.map_(pa.string(), pa.string())),
+        ("anchor_info", pa.map_(pa.string(), pa.string())), ("page_info", pa.map_(pa.string(), pa.string())), ("inner_objects", pa.map_(pa.string(), pa.int64())),
     ]
 )
 TABLE = pa.struct(
@@ -63,7 +65,8 @@ PARSED = pa.schema([("path", pa.string()), ("section", pa.int64()), ("node", NOD
 RUNS_SQL = "array<struct<char_pr:string,text:string>>"
 NODE_SQL = (
     "struct<ord:bigint,paragraph_index:bigint,node_type:string,object_type:string,source_path:string,anchor_path:string,text:string,para_pr:string,style_id:string,"
-    f"runs:{RUNS_SQL},lines:bigint,line_variation:double,n_objects:bigint,has_sec_pr:boolean,table_index:bigint,xml_id:string,image_ref:string,width:string,height:string,inline:boolean,attrs:map<string,string>>"
+    f"runs:{RUNS_SQL},lines:bigint,line_variation:double,n_objects:bigint,has_sec_pr:boolean,table_index:bigint,xml_id:string,image_ref:string,width:string,height:string,inline:boolean,attrs:map<string,string>,"
+    "anchor_info:map<string,string>,page_info:map<string,string>,inner_objects:map<string,bigint>>"
 )
 TABLE_SQL = (
     "struct<table_id:string,xml_id:string,table_index:bigint,n_rows:bigint,n_cols:bigint,cell_spacing:bigint,repeat_header:boolean,page_break:boolean,width:bigint,height:bigint,treat_as_char:boolean,"
@@ -142,6 +145,20 @@ def object_text(e) -> str:
     return collapse(" ".join(p for p in [*found, *(p for x in e for p in pieces(x))] if p))
 
 
+def placing(e) -> dict:
+    """Whether an object stands in the line (null if it does not say), and its order, wrapping and offsets."""
+    attrs, pos = attrs_of(e), attrs_of(child(e, "pos"))
+    treat = pos.get("treatAsChar")
+    own = {k: attrs.get(k) for k in ("zOrder", "textWrap", "textFlow")} | {k: pos.get(k) for k in ("horzOffset", "vertOffset")}
+    return {"inline": None if treat is None else flag(treat), "anchor_info": [(k, v) for k, v in own.items() if v is not None]}
+
+
+def page_of(page) -> list[tuple[str, str]]:
+    """All properties of a page, those of its margin with ``margin.`` in front."""
+    margin = child(page, "margin") if page is not None else None
+    return [*attrs_of(page).items(), *((f"margin.{k}", v) for k, v in attrs_of(margin).items())]
+
+
 def signed(value: str | None) -> int:
     v = whole(value, 0)
     return v - 2**32 if v >= 2**31 else v
@@ -234,29 +251,28 @@ class Section:
 
     def object(self, e, at: int, above: str) -> None:
         name, attrs = name_of(e), attrs_of(e)
-        pos = next(descendants(e, "pos"), None)
-        treat = attrs_of(pos).get("treatAsChar")
-        base = {"anchor_path": above, "inline": None if treat is None else flag(treat)}
+        base = {"anchor_path": above} | placing(e)
         size = next((s for tag in ("sz", "curSz", "orgSz") if (s := child(e, tag)) is not None), None)
         sized = {"width": attrs_of(size).get("width"), "height": attrs_of(size).get("height")}
         if name == "ctrl":
             for x in e:
-                kind = PROMOTED.get(name_of(x))
+                kind, own = PROMOTED.get(name_of(x)), {"anchor_path": above} | placing(x)
                 if kind:
-                    self.node(kind, x, at, text=collapse("".join(x.itertext())), **base)
+                    self.node(kind, x, at, text=collapse("".join(x.itertext())), **own)
                 else:
-                    self.node("control", x, at, object_type=name_of(x), **base)
+                    self.node("control", x, at, object_type=name_of(x), **own)
             return
         if name == "secPr":
             page = next(descendants(e, "pagePr"), None)
-            self.node("section_control", e, at, **base, width=attrs_of(page).get("width"), height=attrs_of(page).get("height"))
+            self.node("section_control", e, at, **base, width=attrs_of(page).get("width"), height=attrs_of(page).get("height"), page_info=page_of(page))
         elif name == "tbl":
             self.node("table", e, at, **base, xml_id=attrs.get("id"), table_index=self.table_index.get(e))
         elif name == "pic":
             image = next((a for x in descendants(e, "img", frozenset({"tbl"})) if (a := attrs_of(x).get("binaryItemIDRef"))), None)
             self.node("image", e, at, **base, **sized, image_ref=image)
         elif name == "container":
-            self.node("shape_group", e, at, **base, text=object_text(e))
+            inner = Counter(n for x in e.iter() if x is not e and (n := name_of(x)) in OBJECTS | SHAPES)
+            self.node("shape_group", e, at, **base, text=object_text(e), inner_objects=list(inner.items()))
         elif name in SHAPES:
             self.node("shape", e, at, **base, **sized, object_type=name, text=object_text(e))
         else:
@@ -446,6 +462,10 @@ STYLE = pa.schema([(n, pa.string()) for n in ("path", "kind", "id", "name", "hea
 STYLE_SQL = ", ".join(f"{f.name} {'bigint' if f.type == pa.int64() else 'boolean' if f.type == pa.bool_() else 'string'}" for f in STYLE)
 
 
+#: The entries of the style dictionaries by the names of their elements.
+ENTRIES = {"paraPr": "para_pr", "charPr": "char_pr", "style": "style", "bullet": "bullet", "numbering": "numbering"}
+
+
 def header_rows(path: str, xml: bytes) -> list[dict]:
     """Rows of the style dictionaries: para_pr, char_pr, style, bullet, numbering."""
     out = []
@@ -482,6 +502,46 @@ def styles(parts: DataFrame) -> DataFrame:
     return parts.where(F.col("part").rlike(r"(^|/)header\.xml$")).select("path", "content").mapInArrow(_styles, STYLE_SQL)
 
 
+ELEMENT = pa.schema([(n, pa.string()) for n in ("path", "kind", "id")] + [("place", pa.int64()), ("above", pa.int64()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string())])
+ELEMENT_SQL = "path string, kind string, id string, place bigint, above bigint, tag string, attrs map<string,string>, text string"
+
+
+def element_rows(path: str, xml: bytes) -> list[dict]:
+    """The elements of each entry of the style dictionaries, depth first, with the place of the element above."""
+    out = []
+    for e in ElementTree.fromstring(xml).iter():
+        kind = ENTRIES.get(name_of(e))
+        if kind is None or e.get("id") is None:
+            continue
+        stack, place = [(e, None)], 0
+        while stack:
+            x, above = stack.pop()
+            out.append({"path": path, "kind": kind, "id": e.get("id"), "place": place, "above": above, "tag": name_of(x), "attrs": list(attrs_of(x).items()), "text": (x.text or "").strip() or None})
+            stack += [(y, place) for y in reversed(list(x))]
+            place += 1
+    return out
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield pa.RecordBatch.from_pylist(element_rows(row["path"], row["content"]), schema=ELEMENT)
+
+
+def elements(parts: DataFrame) -> DataFrame:
+    """(path, kind, id, place, above, tag, attrs, text): the style dictionaries whole, a row per XML element of an entry."""
+    return parts.where(F.col("part").rlike(r"(^|/)header\.xml$")).select("path", "content").mapInArrow(_elements, ELEMENT_SQL)
+
+
+def problems(parts: DataFrame) -> DataFrame:
+    """(path, problem): packages without a manifest or header at its place, or without sections; sound ones give no row."""
+    has = lambda pattern: F.max(F.col("part").rlike(pattern))
+    facts = parts.groupBy("path").agg(has(r"(^|/)content\.hpf$").alias("manifest"), has(r"^Contents/header\.xml$").alias("header"))
+    found = facts.join(section_parts(parts).select("path").distinct().withColumn("sections", F.lit(True)), "path", "left")
+    listed = F.array_compact(F.array(F.when(~F.col("manifest") & ~F.col("header"), F.lit("no_manifest")), F.when(F.col("sections").isNull(), F.lit("no_sections"))))
+    return found.select("path", F.explode(listed).alias("problem"))
+
+
 def info(parts: DataFrame) -> DataFrame:
     """(path, kind, name, value, media_type, size): title, language, metadata and images of the manifest, and the application."""
     sizes = parts.select("path", F.col("part").alias("value"), "size")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zipfile
 
 import pytest
+from lamina.operators import audits
 from lamina.sources import package
 from lamina.streaming import packages
 
@@ -15,7 +16,7 @@ CELL = '<hp:tc header="1"><hp:subList vertAlign="CENTER"><hp:p paraPrIDRef="1"><
 NESTED = '<hp:tbl id="55" rowCnt="1" colCnt="1"><hp:tr>' + CELL.format(run="<hp:t>inner</hp:t>", r=0, c=0, rs=1) + "</hp:tr></hp:tbl>"
 DRAWN = '<hp:rect><hp:offset x="0" y="900"/><hp:drawText><hp:t>below</hp:t></hp:drawText></hp:rect><hp:rect><hp:offset x="0" y="4294967253"/><hp:drawText><hp:t>above</hp:t></hp:drawText></hp:rect>'
 TABLE = (
-    '<hp:tbl id="44" rowCnt="2" colCnt="2" pageBreak="CELL" repeatHeader="1"><hp:sz width="100" height="50"/><hp:pos treatAsChar="1"/><hp:caption><hp:t>a  caption</hp:t></hp:caption><hp:tr>'
+    '<hp:tbl id="44" rowCnt="2" colCnt="2" pageBreak="CELL" repeatHeader="1"><hp:sz width="100" height="50"/><hp:pos treatAsChar="1" vertOffset="30"/><hp:caption><hp:t>a  caption</hp:t></hp:caption><hp:tr>'
     + CELL.format(run="<hp:t>one<hp:tab/>two</hp:t>", r=0, c=0, rs=2)
     + CELL.format(run="<hp:t>up</hp:t>" + DRAWN, r=0, c=1, rs=1)
     + "</hp:tr><hp:tr>"
@@ -23,11 +24,11 @@ TABLE = (
     + "</hp:tr></hp:tbl>"
 )
 ONE = (
-    '<hs:sec xmlns:hs="urn:sec" xmlns:hp="urn:para"><hp:p paraPrIDRef="1" styleIDRef="3"><hp:run charPrIDRef="7"><hp:secPr><hp:pagePr width="59528" height="84188"/></hp:secPr><hp:t>Title<hp:lineBreak/>second</hp:t></hp:run>'
+    '<hs:sec xmlns:hs="urn:sec" xmlns:hp="urn:para"><hp:p paraPrIDRef="1" styleIDRef="3"><hp:run charPrIDRef="7"><hp:secPr><hp:pagePr width="59528" height="84188"><hp:margin left="8504"/></hp:pagePr></hp:secPr><hp:t>Title<hp:lineBreak/>second</hp:t></hp:run>'
     '<hp:run charPrIDRef="8"><hp:t> part</hp:t><hp:compose composeText="①"/></hp:run></hp:p>'
     "<hp:p><hp:run><hp:t>Table 1 prices</hp:t></hp:run></hp:p>"
     f"<hp:p><hp:run>{TABLE}</hp:run></hp:p><hp:p><hp:run><hp:t>※ a note</hp:t></hp:run></hp:p><hp:p><hp:run><hp:t>자료: us</hp:t></hp:run></hp:p>"
-    '<hp:p><hp:run><hp:ctrl><hp:footNote><hp:t>foot  note</hp:t></hp:footNote><hp:colPr/></hp:ctrl><hp:ellipse><hp:curSz width="5" height="6"/><hp:t>round</hp:t></hp:ellipse></hp:run></hp:p></hs:sec>'
+    '<hp:p><hp:run><hp:ctrl><hp:footNote><hp:t>foot  note</hp:t></hp:footNote><hp:colPr/></hp:ctrl><hp:ellipse><hp:curSz width="5" height="6"/><hp:t>round</hp:t></hp:ellipse><hp:container zOrder="3"><hp:rect><hp:pos treatAsChar="1"/></hp:rect><hp:rect/><hp:pic/></hp:container></hp:run></hp:p></hs:sec>'
 )
 TWO = '<x:sec xmlns:x="urn:sec" xmlns:y="urn:para"><y:p><y:run><y:t>other prefix</y:t></y:run></y:p></x:sec>'
 MANIFEST = '<opf:package xmlns:opf="urn:opf"><opf:title>A title</opf:title><opf:meta name="creator">me</opf:meta><opf:item id="img1" href="BinData/i.png" media-type="image/png"/></opf:package>'
@@ -58,13 +59,16 @@ def one(df):
 
 def test_nodes(parsed):
     rows = one(package.nodes(parsed)).orderBy("ord").collect()
-    kinds = ["paragraph", "section_control", "paragraph", "paragraph", "table", "caption", "paragraph", "paragraph", "paragraph", "footnote", "control", "shape", "paragraph"]
-    assert [r.node_type for r in rows] == kinds and [r.ord for r in rows] == list(range(13)) and [r.section for r in rows] == [0] * 12 + [1]
+    kinds = ["paragraph", "section_control", "paragraph", "paragraph", "table", "caption", "paragraph", "paragraph", "paragraph", "footnote", "control", "shape", "shape_group", "paragraph"]
+    assert [r.node_type for r in rows] == kinds and [r.ord for r in rows] == list(range(14)) and [r.section for r in rows] == [0] * 13 + [1]
     assert rows[0].text == "Title\nsecond part①" and rows[0].lines == 2 and rows[0].line_variation == 1.0 and rows[0].has_sec_pr
     assert [(x.char_pr, x.text) for x in rows[0].runs] == [("7", "Title\nsecond"), ("8", " part①")]
     assert rows[4].xml_id == "44" and rows[4].table_index == 0 and rows[4].inline and rows[5].text == "a caption"
     assert rows[9].text == "foot note" and rows[10].object_type == "colPr" and (rows[11].text, rows[11].width) == ("round", "5")
-    assert rows[4].source_path == "Contents/section2.xml#hp:p[2]/hp:tbl" and rows[12].text == "other prefix"
+    assert rows[4].source_path == "Contents/section2.xml#hp:p[2]/hp:tbl" and rows[13].text == "other prefix"
+    assert rows[1].page_info == {"width": "59528", "height": "84188", "margin.left": "8504"} and rows[4].anchor_info == {"vertOffset": "30"}
+    # The place of an object inside a group is not that of the group.
+    assert rows[12].inner_objects == {"rect": 2, "pic": 1} and rows[12].inline is None and rows[12].anchor_info == {"zOrder": "3"}
 
 
 def test_tables_and_cells(parsed):
@@ -96,5 +100,37 @@ def test_styles_and_info(spark, folder):
 def test_stream_of_packages(spark, folder, tmp_path):
     query = packages.write_sections(packages.read_stream(spark, folder), str(tmp_path / "out"), str(tmp_path / "state"))
     query.awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out/nodes")).count() == 26
+    assert spark.read.parquet(str(tmp_path / "out/nodes")).count() == 28
     assert spark.read.parquet(str(tmp_path / "out/cells")).count() == 8
+
+
+def test_dictionaries_whole(spark, folder):
+    rows = one(package.elements(package.read(spark, folder)))
+    own = rows.where("kind = 'para_pr'").orderBy("place").collect()
+    assert [(r.place, r.above, r.tag) for r in own] == [(0, None, "paraPr"), (1, 0, "align"), (2, 0, "heading"), (3, 0, "margin"), (4, 3, "intent"), (5, 3, "left")]
+    assert own[2].attrs == {"type": "OUTLINE", "idRef": "0", "level": "2"}
+    assert rows.where("kind = 'numbering' AND tag = 'paraHead'").first().text == "^1."
+
+
+def test_dangling_references(spark, folder):
+    parts = package.read(spark, folder)
+    uses = audits.style_uses(package.nodes(package.sections(parts)))
+    assert audits.dangling(uses, package.styles(parts)).collect() == []
+    found = audits.dangling(uses, package.styles(parts).where("id <> '7'"))
+    assert {(r.kind, r.id) for r in found.collect()} == {("char_pr", "7")}
+
+
+def test_packages_that_lack_parts(spark, folder, tmp_path):
+    assert package.problems(package.read(spark, folder)).collect() == []
+    for name, entries in {"bare": ["readme.xml"], "empty": ["Contents/content.hpf", "Contents/header.xml"]}.items():
+        with zipfile.ZipFile(tmp_path / f"{name}.hwpx", "w") as out:
+            for entry in entries:
+                out.writestr(entry, "<a/>")
+    found = {(r.path.split("/")[-1], r.problem) for r in package.problems(package.read(spark, str(tmp_path))).collect()}
+    assert found == {("bare.hwpx", "no_manifest"), ("bare.hwpx", "no_sections"), ("empty.hwpx", "no_sections")}
+
+
+def test_analysis_as_a_stream(spark, folder, tmp_path):
+    packages.write_analysis(packages.read_stream(spark, folder), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out/batch=0/blocks")).count() == 28
+    assert spark.read.json(str(tmp_path / "out/batch=0/model")).count() == 2
