@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.common import cut, ship, small, tidy, words_of
 from lamina.llm import simhash
-from lamina.llm.simhash import SEED, components, pick_one
+from lamina.llm.simhash import NODE_BYTES, SEED, components, pick_one
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -38,6 +38,8 @@ BANDS, VALUES = 25, 5
 #: Texts and shingles of a cluster beyond which it is cut into buckets.
 SPLIT = 2048
 SPLIT_SHINGLES = 4_000_000
+#: The clusters' texts are found by a broadcast up to this many bytes; it is one alone, and spares a shuffle of all texts.
+PLACED_BYTES = 8_000_000
 FACTORS = np.random.default_rng(SEED).integers(0, 2**64, BANDS * VALUES, dtype=np.uint64) | np.uint64(1)
 MIXERS = np.random.default_rng(SEED + 1).integers(0, 2**64, (BANDS, VALUES), dtype=np.uint64) | np.uint64(1)
 
@@ -124,7 +126,7 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, sp
     # Texts that share a band are tied to the smallest of them.
     each = rows.select("node", F.explode("bands").alias("band"))
     least = each.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("band", "least")
-    ties = each.join(small(least), "band").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    ties = each.join(small(least, NODE_BYTES), "band").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     # Texts of one fingerprint are tied to the smallest of them, those of linked ones to one another.
     heads = cut(rows.groupBy("fp").agg(F.min("node").alias("head")))
     same = rows.join(heads, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
@@ -136,7 +138,7 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, sp
     sized = clusters.join(rows.select("node", "size"), "node").groupBy("label").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     need = F.ceil(F.greatest(F.col("n") / split, F.col("size") / SPLIT_SHINGLES) * 2).cast("int")
     parts = sized.select("label", F.when(need > 2, need).otherwise(1).alias("parts"))
-    placed = small(clusters.join(small(parts), "label"))
+    placed = small(clusters.join(small(parts, NODE_BYTES), "label"), PLACED_BYTES)
     one = texts.join(placed, "node").groupBy("node", "label", "parts").agg(F.first("text").alias("text"))
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     pair = lambda j: F.least(own, j) * F.col("parts") + F.greatest(own, j)
@@ -149,7 +151,7 @@ def links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, sp
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """(id, body, label) of each row: its id, a hash of its text, and a name of its group."""
     node = F.xxhash64(F.array_join(words_of(F.col(text)), " "))
-    final = small(components(links(docs.select(node.alias("node"), F.col(text).alias("text")), **limits)))
+    final = small(components(links(docs.select(node.alias("node"), F.col(text).alias("text")), **limits)), NODE_BYTES)
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("body"), node.alias("node"))
     return rows.join(final, "node", "left").select("id", "body", F.coalesce("label", "node").alias("label"))
 

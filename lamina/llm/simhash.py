@@ -39,6 +39,9 @@ THRESHOLD = 3
 SEED = 42
 #: Rows of an anchor beyond which it is cut into buckets.
 SPLIT = 2048
+#: A side that grows with the linked rows is broadcast up to this many bytes only: the driver builds each one, and
+#: every round of the contraction has two.
+NODE_BYTES = 2_000_000
 BITS = np.array([[b >> i & 1 for i in range(8)] for b in range(256)], dtype=np.int64)
 
 
@@ -206,11 +209,11 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = star.unionByName(star.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = small(both.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("node"), F.least("v", "m").alias("m")))
+        least = small(both.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("node"), F.least("v", "m").alias("m")), NODE_BYTES)
         # Large star: each larger neighbour of a node moves to the smallest neighbour of the node.
         large = both.where("u > v").join(least, F.col("v") == F.col("node")).select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         large = cut(large)
-        lower = small(large.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("node"), "m"))
+        lower = small(large.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("node"), "m"), NODE_BYTES)
         # Small star: each smaller neighbour of a node, and the node, move to the smallest of them.
         met = large.join(lower, F.col("v") == F.col("node"))
         ends = met.select(F.explode(F.array(F.struct(F.col("u").alias("v"), F.col("m").alias("u")), F.struct("v", F.col("m").alias("u")))).alias("e"))

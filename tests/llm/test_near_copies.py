@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
-from lamina.llm import near_copies, simhash
+from lamina.llm import common, near_copies, simhash
 
 
 def shingle_set(text):
@@ -60,3 +60,18 @@ def test_the_stage_links_what_three_bits_do_not(spark):
     kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()}
     assert kept == {x[0] for x in partition(brute_labels(texts))}
     assert len(simhash.one_of_each(docs).collect()) > len(kept)
+
+
+def test_the_driver_builds_no_side_that_grows_with_the_links(spark, monkeypatch):
+    hinted, plain = [], common.F.broadcast
+    monkeypatch.setattr(common.F, "broadcast", lambda df: hinted.append(common.bytes_of(df)) or plain(df))
+    n = 60_000
+    pairs = spark.range(0, n, 2).selectExpr("id + 1 as a", "id as b")
+    found = simhash.components(pairs).selectExpr("count(*)", "count(distinct node)", "count_if(label = node - node % 2)")
+    assert tuple(found.first()) == (n, n, n)
+    assert max(hinted, default=0) <= 2_000_000
+    hinted.clear()
+    texts = [f"{i} {i + 1} {i + 2} {i + 3} {i + 4} {c}" for i in range(0, 48_000, 2) for c in ("a", "a b")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    near_copies.groups(docs, shingle=1, similar=0.8).write.format("noop").mode("overwrite").save()
+    assert sum(x > 2_000_000 for x in hinted) <= 1 and max(hinted, default=0) <= 8_000_000
