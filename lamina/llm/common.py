@@ -50,6 +50,16 @@ def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(held) if bytes_of(held) <= most else held
 
 
+def cut_unsized(df: DataFrame) -> DataFrame:
+    """df, cut, without the size that its plan was estimated to have, for what is cut and joined again in rounds.
+
+    A checkpoint keeps that estimate, and a join's is the product of its sides'. Over rounds its digits double each
+    time, until the driver spends seconds, then minutes, and hundreds of MB on multiplying one number.
+    """
+    held, spark = cut(df), df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(held._jdf.rdd(), held._jdf.schema()), spark)
+
+
 def hash_side(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     """df, cut and measured, to be the hash table of a shuffled join; without the hint if a task's share is too large.
 

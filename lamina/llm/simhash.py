@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import blank, cut, hash_side, ship, small, table
+from lamina.llm.common import blank, cut, cut_unsized, hash_side, ship, small, table
 
 SHINGLE = 3
 THRESHOLD = 3
@@ -205,7 +205,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     The rounds go on until nothing changes; their number grows with the logarithm of the longest chain.
     """
-    star = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct())
+    star = cut_unsized(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct())
     state = None
     while True:
         both = star.unionByName(star.select(F.col("u").alias("v"), F.col("v").alias("u")))
@@ -217,7 +217,7 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: each smaller neighbour of a node, and the node, move to the smallest of them.
         met = large.join(lower, F.col("v") == F.col("node"))
         ends = met.select(F.explode(F.array(F.struct(F.col("u").alias("v"), F.col("m").alias("u")), F.struct("v", F.col("m").alias("u")))).alias("e"))
-        star = cut(ends.select("e.*").where("u <> v").distinct())
+        star = cut_unsized(ends.select("e.*").where("u <> v").distinct())
         now = star.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if now == state:
             return star.select(F.col("v").alias("node"), F.col("u").alias("label")).unionByName(star.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct())

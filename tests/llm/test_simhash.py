@@ -87,6 +87,12 @@ def test_long_chain_settles(spark):
     assert labels == {i: 0 for i in range(201)} | {1000: 1000, 1001: 1000}
 
 
+def test_rounds_do_not_swell_the_size_estimate(spark):
+    found = simhash.components(spark.range(200).selectExpr("id as a", "id + 1 as b"))
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 512
+    assert found.selectExpr("count(*)", "count(distinct node)", "max(label)").first() == (201, 201, 0)
+
+
 def test_odd_rows_and_one_of_each(spark, odd_docs, odd_rows, no_docs):
     rows = simhash.near_groups(odd_docs).collect()
     assert len(rows) == len(odd_rows)
