@@ -11,7 +11,7 @@ from lamina.plans.block_queries import DEEP, ROLES, deep, roles
 from lamina.plans.kind_queries import TYPE_OF, cascade
 from lamina.plans.kind_queries import ORACLES as KIND_ORACLES
 from lamina.plans.table_queries import ORACLES as TABLE_ORACLES
-from lamina.plans.table_queries import CELLS, SCORES, heads_of, numeric_sql, strip_sql
+from lamina.plans.table_queries import CELLS, SCORES, numeric_sql, strip_sql
 from lamina.sources.adapters import KIND_CELLS_SQL, KIND_PARENTS_SQL, kind_cells, kind_parents, order_cells, read
 
 
@@ -23,26 +23,20 @@ def labelled_cells(spark, sf_dir):
     return cells.withColumn("text", named).withColumn("c", place)
 
 
-def row_headers(cells, heads):
-    return headers.header_cols(headers.header_col_facts(cells, heads))
-
-
 def header_cols(spark, sf_dir):
-    cells = labelled_cells(spark, sf_dir)
-    return row_headers(cells, heads_of(cells))
+    return headers.found_headers(labelled_cells(spark, sf_dir)).select("table_id", "n_header_cols", "reason")
 
 
 def verdict_beside_labels(spark, sf_dir):
     """The numeric verdict with the columns of row headers left out of it."""
     cells = labelled_cells(spark, sf_dir)
-    heads = heads_of(cells)
-    return headers.numeric_verdict(cells, heads, row_headers=row_headers(cells, heads))
+    return headers.numeric_verdict(cells, headers.found_headers(cells))
 
 
 def header_audit(spark, sf_dir):
     """Header rows as found, against one declared row, or two where three divides the key."""
     cells = order_cells(spark, sf_dir)
-    found = heads_of(cells).where("n_header > 0").select("table_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_header") - 1)).alias("r"))
+    found = headers.found_rows(cells).where("n_header > 0").select("table_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_header") - 1)).alias("r"))
     declared = cells.select("table_id").distinct().select("table_id", F.explode(F.when(F.col("table_id") % 3 == 0, F.expr("array(0L, 1L)")).otherwise(F.expr("array(0L)"))).alias("r"))
     return model.header_audit(declared, found)
 
