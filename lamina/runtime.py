@@ -6,9 +6,14 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def ship(spark: SparkSession) -> None:
@@ -65,3 +70,35 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // SPREAD_BYTES)), *keys)
+
+
+#: Rows of a batch that ``by_group`` gives back.
+BATCH_ROWS = 10_000
+
+
+def by_group(df: DataFrame, key: str, order: list[str], run: Callable, schema: str | StructType) -> DataFrame:
+    """What ``run(key, rows)`` lists as tuples for each group, its rows as dicts in order.
+
+    Groups are gathered as arrays, many to an Arrow batch, and worked off one by one: a grouped pandas function costs
+    milliseconds a group, however small, and its batches end with the group.
+    """
+    ship(df.sparkSession)
+    names = [*order, *[c for c in df.columns if c != key and c not in order]]
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(kind)
+    pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
+
+    def each(batches):
+        found = []
+        for batch in batches:
+            keys, groups = batch.columns
+            for k, group in zip(keys, groups):
+                found += run(k.as_py(), group.as_py())
+                if len(found) >= BATCH_ROWS:
+                    yield pack(found)
+                    found = []
+        if found:
+            yield pack(found)
+
+    gathered = df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*names))).alias("rows"))
+    return gathered.mapInArrow(each, kind)
