@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import text as T
 from lamina.operators import grid
-from lamina.runtime import ship
+from lamina.runtime import by_group
 
 
 def issues(tables: DataFrame, cells: DataFrame) -> DataFrame:
@@ -83,14 +82,14 @@ def form_sections(cells: DataFrame) -> DataFrame:
     neighbouring names are one. Two cells are a pair, an even number inside a label's rows are pairs unless
     their columns repeat more than twice there, one is a key, anything else stays raw.
     """
-    ship(cells.sparkSession)
     size = grid.sizes(cells).select("table_id", "n_cols")
     own = cells.select(F.col("table_id").cast("string").alias("table_id"), "r", "c", "row_span", "col_span", T.collapse(F.col("text")).alias("text"), label_text(F.col("text")).alias("label"))
     wide = own.join(size.select(F.col("table_id").cast("string").alias("table_id"), "n_cols"), "table_id")
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        table_id, n_cols, out, names = rows["table_id"].iloc[0], int(rows["n_cols"].iloc[0]), [], []
-        by_row = {r: g.sort_values("c").to_dict("records") for r, g in rows.groupby("r")}
+    def run(table_id: str, rows: list[dict]) -> list[tuple]:
+        n_cols, out, names, by_row = rows[0]["n_cols"], [], [], {}
+        for cell in rows:
+            by_row.setdefault(cell["r"], []).append(cell)
         first, until, is_open = min(by_row), -1, False
         repeats = {}
         for r, own in by_row.items():
@@ -132,9 +131,9 @@ def form_sections(cells: DataFrame) -> DataFrame:
                 for k, v in zip(own[::2], own[1::2]):
                     if k["label"] or v["text"]:
                         add("item", r, k["label"], v["text"])
-        return pd.DataFrame(out, columns=["table_id", "section", "name", "kind", "r", "key", "value"])
+        return out
 
-    return wide.groupBy("table_id").applyInPandas(run, SECTIONS)
+    return by_group(wide, "table_id", ["r", "c"], run, SECTIONS)
 
 
 def order_in_groups(floating: DataFrame) -> DataFrame:

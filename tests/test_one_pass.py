@@ -43,7 +43,7 @@ def test_one_pass_as_step_by_step(spark):
     assert reasons[3] == "INDEX_LIKE_FIRST_COLUMN" and reasons[9] == "SINGLE_COLUMN_TABLE"
 
 
-@pytest.mark.parametrize("name", ["toc_match", "title_scope_depth", "corrected_depths"])
+@pytest.mark.parametrize("name", ["form_sections", "toc_match", "title_scope_depth", "corrected_depths"])
 def test_groups_come_in_batches(spark, name):
     """A grouped pandas function costs milliseconds for each small group; groups are worked off many to a batch."""
     found = plan(registry.QUERIES[name](spark, DATA))
